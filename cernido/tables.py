@@ -66,3 +66,16 @@ def blank_to_null(c: Column) -> Column:
 
 def env_path(name: str, default: str) -> str:
     return os.environ.get(name, default)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where the scan gives fewer partitions than there
+    are cores. For work that costs far more than moving its rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """A broadcast hint, given only once the rows are counted to be at most
+    ``max_rows``; a larger side is left to the optimizer."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
