@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cernido.llm.lookalike import canonical_entities, same_look_pairs
 from cernido.llm.split import oversized, resplit
 from cernido.llm.tokenize import encode_corpus
+from cernido.llm.truncation import cut_texts, truncation_rates
 from cernido.tables import table
 
 
@@ -65,6 +66,16 @@ def p8_counts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose text was cut."""
+    return cut_texts(table(spark, d, "documents")).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source truncates."""
+    return truncation_rates(table(spark, d, "documents"))
+
+
 QUERIES = {
     "p4_found": (p4_found, None),
     "p4_canonical": (p4_canonical, None),
@@ -72,4 +83,6 @@ QUERIES = {
     "p6_pieces": (p6_pieces, None),
     "p8_ids": (p8_ids, None),
     "p8_counts": (p8_counts, None),
+    "p10_found": (p10_found, None),
+    "p10_rates": (p10_rates, None),
 }
