@@ -68,8 +68,18 @@ def env_path(name: str, default: str) -> str:
     return os.environ.get(name, default)
 
 
+def hashed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` hashed on the keys into a fixed number of partitions, at least two
+    a core. Joins and windows on these keys need no other shuffle, and the
+    partitions aren't merged by their size: for work that costs far more than
+    the size of its rows tells."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores, where the scan gives fewer partitions than there
+    """A scan over all cores, where it gives fewer partitions than there
     are cores. For work that costs far more than moving its rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
