@@ -6,12 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cernido.llm.lookalike import canonical_entities, same_look_pairs
+from cernido.llm.personal import found_mentions, replaced
+from cernido.llm.scanned import found_noise, repaired
 from cernido.llm.split import oversized, resplit
 from cernido.llm.tokenize import encode_corpus
 from cernido.llm.truncation import cut_texts, truncation_rates
 from cernido.tables import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The kinds of scanning noise in each chunk."""
+    return found_noise(table(spark, d, "text_chunks_staging"), table(spark, d, "text_extraction_pages"))
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Scanned chunks as continuous paragraphs."""
+    return repaired(table(spark, d, "text_chunks_staging"), table(spark, d, "text_extraction_pages"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of persons and their contact data."""
+    return found_mentions(table(spark, d, "text_chunks_staging"), table(spark, d, "entity_extraction_entities"))
+
+
+def p3_replaced(spark: SparkSession, d: str) -> DataFrame:
+    """The same texts with a typed surrogate for each mention."""
+    return replaced(table(spark, d, "text_chunks_staging"), table(spark, d, "entity_extraction_entities"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Entities of one file that look the same and aren't the same string."""
     return same_look_pairs(table(spark, d, "entity_extraction_entities"))
@@ -77,6 +99,10 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": (p1_found, None),
+    "p1_repaired": (p1_repaired, None),
+    "p3_found": (p3_found, None),
+    "p3_replaced": (p3_replaced, None),
     "p4_found": (p4_found, None),
     "p4_canonical": (p4_canonical, None),
     "p6_found": (p6_found, _P6),
