@@ -43,11 +43,15 @@ LEAST_LENGTH = 4
 
 _HYPHEN = "-‐‑–¬­"
 _LETTER = r"[^\W\d_]"
-_DIVIDED_LINE = re.compile(rf"({_LETTER}+)([{_HYPHEN}])[ \t]*\n\s*({_LETTER}+)")
-_DIVIDED_FLAT = re.compile(rf"({_LETTER}+)([{_HYPHEN}])\s+({_LETTER}+)|({_LETTER}+)(­)({_LETTER}+)")
+_DIVIDED_LINE = re.compile(rf"[{_HYPHEN}][ \t]*\n\s*(?={_LETTER})")
+_DIVIDED_FLAT = re.compile(rf"[{_HYPHEN}]\s+(?={_LETTER})|­(?={_LETTER})")
+_ENDING = re.compile(rf"{_LETTER}+\Z")
+_BEGINNING = re.compile(rf"{_LETTER}+")
+_DIVIDED = re.compile(rf"{_LETTER}+(?:[{_HYPHEN}]\s+|­){_LETTER}+")
 _COUNTED = re.compile(rf"(?<!\w){_LETTER}+(?:-{_LETTER}+)*(?!\w)")
 _TOKEN = re.compile(r"[^\W_]+")
-_ADDRESS_LIKE = re.compile(r"\S*(?:@|＠|://|\[at\]|\(arroba\))\S*")
+_ADDRESS_SIGN = re.compile(r"@|＠|://|\[at\]|\(arroba\)")
+_BLANK = re.compile(r"\s|\Z")
 
 _NUMBERED = r"(?:p[áa][gq](?:[il1]na|\.)?|hoja|page)\s*\d{1,4}(?:\s*(?:de|/|of)\s*\d{1,4})?"
 _DASHED = r"[—–·•-]\s*\d{1,4}\s*[—–·•-]|\[\d{1,4}\]|\d{1,4}\s*/\s*\d{1,4}"
@@ -61,8 +65,11 @@ _PAGE_FLAT = re.compile(
 _REFERS = re.compile(r"(?:\b(?:la|las|una|the|see|véase|ver)\s+)$", re.I)
 _GOES_ON = re.compile(r"\s+(?:del|de la|of the)\b", re.I)
 
-_SIGN = re.compile(r"([\w.]+)[ \t]+([|·—–/•])[ \t]+(\w+)")
-_NUMBER = re.compile(r"(\w+)[ \t]+(?:n[°º][ \t]*)?(\d[\d/-]*)(?=\s|$)")
+_SIGN = re.compile(r"[|·—–/•]")
+_WORD_BEFORE = re.compile(r"([\w.]+)[ \t]+\Z")
+_WORD_AFTER = re.compile(r"[ \t]+(\w+)")
+_NUMBER = re.compile(r"\d[\d/-]*(?=\s|\Z)")
+_LABEL_BEFORE = re.compile(r"(\w+)[ \t]+(?:n[°º][ \t]*)?\Z", re.I)
 
 
 @lru_cache(maxsize=8192)
@@ -109,17 +116,24 @@ def anchors(text: str) -> dict[str, str | None]:
     """Marks that a running header may hold, with the line they stand in (null in
     a flat text): two words around a sign, or a word and a number that no
     sentence mark follows. In lower case, without accents."""
-    bare = text.translate(_FOLD)
     flat = is_flat(text)
     found: dict[str, str | None] = {}
-    for line in [bare] if flat else bare.split("\n"):
-        whole = None if flat else " ".join(line.split())
-        for a, sign, b in _SIGN.findall(line):
-            if not (a.isdigit() and b.isdigit()):
-                found[f"{a} {sign} {b}"] = whole
-        for a, n in _NUMBER.findall(line):
-            if not a.isdigit():
-                found[f"{a} {n}"] = whole
+
+    def put(anchor: str, at: int) -> None:
+        line = None
+        if not flat:
+            end = text.find("\n", at)
+            line = " ".join(text[text.rfind("\n", 0, at) + 1 : len(text) if end < 0 else end].translate(_FOLD).split())
+        found[anchor.translate(_FOLD)] = line
+
+    for m in _SIGN.finditer(text):
+        a, b = _WORD_BEFORE.search(text, max(0, m.start() - 40), m.start()), _WORD_AFTER.match(text, m.end())
+        if a and b and not (a.group(1).isdigit() and b.group(1).isdigit()):
+            put(f"{a.group(1)} {m.group()} {b.group(1)}", m.start())
+    for m in _NUMBER.finditer(text):
+        a = _LABEL_BEFORE.search(text, max(0, m.start() - 40), m.start())
+        if a and not a.group(1).isdigit():
+            put(f"{a.group(1)} {m.group()}", m.start())
     return found
 
 
@@ -131,9 +145,11 @@ class Model:
     pairs: dict[tuple[str, str], int]
     total: int
     safe: set[str] = field(default_factory=set)
+    _begun: set[str] = field(default_factory=set)
     _memo: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        self._begun = {w[:i] for w in self.words for i in range(len(w) + 1)}
         self.safe = {w for w, n in self.words.items() if not any(self.words[c] > n for c, _ in self.candidates(w))}
 
     def candidates(self, read: str) -> list[tuple[str, float]]:
@@ -146,6 +162,8 @@ class Model:
             stack = [(0, "", 0)]
             while stack:
                 i, made, edits = stack.pop()
+                if made not in self._begun:
+                    continue
                 if i == len(read):
                     if edits and made in self.words and made != read:
                         found[made] = max(found.get(made, -1e9), edits * CONFUSED)
@@ -191,22 +209,15 @@ class Model:
             return True
         return not (a in self.words and b in self.words) or bool(self.candidates(a + b))
 
-    def divided(self, text: str) -> list[re.Match]:
-        found = []
-        for m in (_DIVIDED_FLAT if is_flat(text) else _DIVIDED_LINE).finditer(text):
-            left, sign, right = [g for g in m.groups() if g is not None]
-            if self.joined(left, sign, right):
-                found.append(m)
-        return found
-
     def mend_divided(self, text: str) -> tuple[str, int]:
-        found = self.divided(text)
-        parts, at = [], 0
-        for m in found:
-            left, _, right = [g for g in m.groups() if g is not None]
-            parts += [text[at : m.start()], left + right]
-            at = m.end()
-        return "".join([*parts, text[at:]]), len(found)
+        """The text with its divided words joined, and their number."""
+        parts, at, n = [], 0, 0
+        for m in (_DIVIDED_FLAT if is_flat(text) else _DIVIDED_LINE).finditer(text):
+            left, right = _ENDING.search(text, max(at, m.start() - 40), m.start()), _BEGINNING.match(text, m.end())
+            if left and self.joined(left.group(), m.group()[0], right.group()):
+                parts.append(text[at : m.start()])
+                at, n = m.end(), n + 1
+        return ("".join([*parts, text[at:]]) if n else text), n
 
     def misread(self, text: str, apply: bool = False) -> tuple[str, int]:
         """The text with its misread words mended, and their number."""
@@ -216,7 +227,12 @@ class Model:
         doubtful = {w for w in set(_TOKEN.findall(lower)) - self.safe if not w.isdigit() and self.candidates(w)}
         if not doubtful:
             return text, 0
-        masked = [m.span() for m in _ADDRESS_LIKE.finditer(text)]
+        masked = []
+        for m in _ADDRESS_SIGN.finditer(text):
+            start = m.start()
+            while start and not text[start - 1].isspace():
+                start -= 1
+            masked.append((start, _BLANK.search(text, m.end()).start()))
         changed, parts, at = 0, [], 0
         for line in re.finditer(r"[^\n]+", text):
             a, b = line.span()
@@ -303,9 +319,7 @@ def count_words(chunks: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch["text"]:
-                for pattern in (_DIVIDED_FLAT, _DIVIDED_LINE):
-                    text = pattern.sub(" ", text)
-                found = _COUNTED.findall(text.lower())
+                found = _COUNTED.findall(_DIVIDED.sub(" ", text).lower())
                 words.update(found)
                 pairs.update(zip(found, found[1:], strict=False))
             if len(pairs) > 1_000_000:
