@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cernido.llm.leakage import leaked, leaks_by_item
 from cernido.llm.lookalike import canonical_entities, same_look_pairs
 from cernido.llm.personal import found_mentions, replaced
 from cernido.llm.scanned import found_noise, repaired
@@ -88,6 +89,16 @@ def p8_counts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold passages of test items."""
+    return leaked(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p9_by_item(spark: SparkSession, d: str) -> DataFrame:
+    """Which test items leaked, and into how many documents."""
+    return leaks_by_item(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents whose text was cut."""
     return cut_texts(table(spark, d, "documents")).select("doc_id")
@@ -109,6 +120,8 @@ QUERIES = {
     "p6_pieces": (p6_pieces, None),
     "p8_ids": (p8_ids, None),
     "p8_counts": (p8_counts, None),
+    "p9_found": (p9_found, None),
+    "p9_by_item": (p9_by_item, None),
     "p10_found": (p10_found, None),
     "p10_rates": (p10_rates, None),
 }
