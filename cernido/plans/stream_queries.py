@@ -15,7 +15,7 @@ def contract_problems(spark: SparkSession, d: str) -> DataFrame:
 
 
 _JUDGED = """WITH x AS (SELECT *, payload ->> '$.event_type' AS ev, payload ->> '$.file_id' AS fi, CAST(payload ->> '$.attempt' AS INT) AS att FROM queue_outbox),
-j AS (SELECT *, CASE WHEN payload IS NULL THEN 'malformed_payload' WHEN ev IS NULL OR ev NOT IN ('file.routed', 'file.chunks_ready') THEN 'unknown_event'
+j AS (SELECT *, CASE WHEN ev IS NULL AND fi IS NULL AND att IS NULL THEN 'malformed_payload' WHEN ev IS NULL OR ev NOT IN ('file.routed', 'file.chunks_ready') THEN 'unknown_event'
   WHEN coalesce(fi, '') = '' THEN 'missing_file_id' WHEN fi <> file_id THEN 'file_mismatch' WHEN coalesce(att, 0) < 1 THEN 'bad_attempt' END AS problem FROM x)"""
 
 

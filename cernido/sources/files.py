@@ -13,6 +13,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cernido.functions.textnorm import trimmed
 
@@ -36,8 +37,9 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     if first is None:
         return raw
     names = named_columns([(x or "").removeprefix("﻿") for x in first])
-    df = spark.read.csv(path, sep=separator, header=True, inferSchema=False, multiLine=True, escape='"', encoding="UTF-8" if head else "ISO-8859-1", enforceSchema=False)
-    return nonblank_rows(df.toDF(*names))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    df = spark.read.csv(path, schema, sep=separator, header=True, multiLine=True, escape='"', encoding="UTF-8" if head else "ISO-8859-1")
+    return nonblank_rows(df)
 
 
 def nonblank_rows(df: DataFrame) -> DataFrame:
@@ -139,7 +141,7 @@ def html_text(html: str | None) -> str | None:
     return " ".join(parser.parts)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_text_col(pages: pd.Series) -> pd.Series:
     return pages.map(html_text, na_action="ignore")
 

@@ -16,7 +16,7 @@ def judged(messages: DataFrame) -> DataFrame:
     holds, else the first reason why not. Works on batches and streams."""
     p = F.from_json("payload", CONTRACT)
     problem = (
-        F.when(F.col("payload").isNull() | p.isNull(), "malformed_payload")
+        F.when(F.coalesce(p["event_type"], p["file_id"], p["attempt"].cast("string")).isNull(), "malformed_payload")
         .when(p["event_type"].isNull() | ~p["event_type"].isin(KNOWN_EVENTS), "unknown_event")
         .when(F.coalesce(p["file_id"], F.lit("")) == "", "missing_file_id")
         .when(p["file_id"] != F.col("file_id"), "file_mismatch")
