@@ -85,7 +85,7 @@ _STREET_HEAD = re.compile(r"(?:av(?:enida|da)?\b|calle|pas(?:aje|je)|p(?:s)?je|c
 _NUMBER_LABEL = re.compile(r"(?:n[°o]|folio|guia|codigo|factura)\s*\.?\s*$")
 _GAP = r"(?:[ \t]*\n[ \t]*|[ \t]+)"
 _AFTER = re.compile(rf"{_GAP}([^\W\d_]+)(\.?)")
-_BEFORE = re.compile(rf"(?<![^\W_])(?:([^\W\d_]+){_GAP})?([^\W\d_]+)[ \t]*,{_GAP}$")
+_BEFORE = re.compile(rf"(?<![\w.@\-])(?:([^\W\d_]+){_GAP})?([^\W\d_]+)[ \t]*,{_GAP}$")
 
 
 def right_check_digit(rut: str) -> bool:
