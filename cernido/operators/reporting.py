@@ -128,3 +128,50 @@ def listing(rows: DataFrame, equal: dict[str, object] | None = None, contains: d
     for c, value in (contains or {}).items():
         rows = rows if value is None else rows.filter(F.lower(c).contains(value.lower()))
     return rows
+
+
+def chunks_per_page(chunks: DataFrame) -> DataFrame:
+    """(file_id, page_start, chunks) from the latest chunk rows."""
+    rows = latest(chunks.select("chunk_id", "file_id", "page_start", "updated_at"), ["chunk_id"])
+    return rows.groupBy("file_id", "page_start").agg(F.count("*").alias("chunks"))
+
+
+def file_progress(files: DataFrame, pages: DataFrame) -> DataFrame:
+    """(file_id, pages, completed): every file with its pages; files without any have zeros."""
+    rows = latest(files.select("file_id", "updated_at"), ["file_id"]).select("file_id")
+    done = page_rollup(pages).select("file_id", F.col("total").alias("pages"), "completed")
+    return rows.join(done, "file_id", "left").na.fill(0)
+
+
+def latest_deliveries(outbox: DataFrame) -> DataFrame:
+    """(file_id, queue_name, status, attempts) of the last delivery of each file, by
+    creation, then number: one maximum a file, combined before the shuffle."""
+    last = F.max(F.struct("created_at", "delivery_no", "queue_name", "status", "attempts")).alias("last")
+    return outbox.groupBy("file_id").agg(last).select("file_id", "last.queue_name", "last.status", "last.attempts")
+
+
+def entities_per_chunk(chunks: DataFrame, entities: DataFrame) -> DataFrame:
+    """(chunk_id, entities, types): every chunk with its recorded entities, zeros where none."""
+    rows = latest(chunks.select("chunk_id", "updated_at"), ["chunk_id"]).select("chunk_id")
+    found = latest(entities, ["file_id", "entity_id"]).groupBy(F.col("primary_location.chunk_id").alias("chunk_id")).agg(
+        F.count("*").alias("entities"), F.count_distinct("entity_type").alias("types")
+    )
+    return rows.join(found, "chunk_id", "left").na.fill(0)
+
+
+def profile_summary(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Tables and columns of a profiled source: metadata only."""
+    return {"tables": len(tables), "columns": sum(len(df.columns) for df in tables.values())}
+
+
+def findings_per_table(tables: list[str], findings: DataFrame) -> DataFrame:
+    """(table_name, finding_count): every table, zero where nothing was found."""
+    every = findings.sparkSession.createDataFrame([(t,) for t in tables], "table_name string")
+    return every.join(findings.groupBy("table_name").agg(F.count("*").alias("finding_count")), "table_name", "left").na.fill(0)
+
+
+def write_artifact(rows: DataFrame, path: str, kind: str, version: str, *by: str) -> None:
+    """Rows as JSON documents with their kind and version, in a folder for each
+    value of ``by``; an existing artifact of that path is replaced."""
+    out = rows.withColumn("artifact_type", F.lit(kind)).withColumn("schema_version", F.lit(version)).write.mode("overwrite")
+    (out.partitionBy(*by) if by else out).json(path)

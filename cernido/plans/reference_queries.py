@@ -538,7 +538,42 @@ def file_listing(spark, d):
 
 _LISTING = f"WITH {_F} SELECT file_id, file_name FROM f WHERE source_type = 'local' AND lower(file_name) LIKE '%carta%'"
 
+def chunks_per_page(spark, d):
+    return reporting.chunks_per_page(table(spark, d, C_TABLE))
+
+
+_PER_PAGE = f"WITH {_C} SELECT file_id, page_start, count(*) AS chunks FROM c GROUP BY ALL"
+
+
+def file_progress(spark, d):
+    return reporting.file_progress(table(spark, d, "files"), table(spark, d, P_TABLE))
+
+
+_PROGRESS = f"""WITH {_P}, x AS (SELECT file_id, count(*) AS pages, count(*) FILTER (status = 'completed') AS completed FROM p GROUP BY 1)
+SELECT f.file_id, coalesce(pages, 0) AS pages, coalesce(completed, 0) AS completed FROM (SELECT DISTINCT file_id FROM files) f LEFT JOIN x USING (file_id)"""
+
+
+def latest_deliveries(spark, d):
+    return reporting.latest_deliveries(table(spark, d, "queue_outbox"))
+
+
+_DELIVERIES = """SELECT file_id, queue_name, status, attempts FROM queue_outbox
+QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY created_at DESC, delivery_no DESC) = 1"""
+
+
+def entities_per_chunk(spark, d):
+    return reporting.entities_per_chunk(table(spark, d, C_TABLE), table(spark, d, E_TABLE))
+
+
+_PER_CHUNK = f"""WITH {_E}, x AS (SELECT primary_location.chunk_id AS chunk_id, count(*) AS entities, count(DISTINCT entity_type) AS types FROM e GROUP BY 1)
+SELECT c.chunk_id, coalesce(entities, 0) AS entities, coalesce(types, 0) AS types FROM (SELECT DISTINCT chunk_id FROM {C_TABLE}) c LEFT JOIN x USING (chunk_id)"""
+
+
 QUERIES = {
+    "chunks_per_page": (chunks_per_page, _PER_PAGE),
+    "file_progress": (file_progress, _PROGRESS),
+    "latest_deliveries": (latest_deliveries, _DELIVERIES),
+    "entities_per_chunk": (entities_per_chunk, _PER_CHUNK),
     "norm_keys": (norm_keys, _NORM),
     "rut_values": (rut_values, _RUT),
     "email_values": (email_values, _EMAIL),
