@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cernido.tables import written
+from cernido.tables import spread, written
 
 #: below this share of its inner occurrences a trigram is "almost never terminal"
 RARE_END = 0.02
@@ -120,7 +120,7 @@ def judged_ends(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     mark = {"mark": MARK}
     folded = mark | {"from": _ACCENTS[0], "to": _ACCENTS[1]}
-    tokens = spark.sql(_TOKENS, args=folded, docs=docs.select("doc_id", "source", "text"))
+    tokens = spark.sql(_TOKENS, args=folded, docs=spread(docs.select("doc_id", "source", "text")))
     inner = written(spark.sql(_INNER, tokens=tokens), "trigrams")
     ends = written(spark.sql(_ENDS, args=mark, tokens=tokens), "ends")
     lines = spark.sql(_LINES, tokens=tokens, ends=ends)
