@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cernido.tables import hashed, latest, spread, written
@@ -383,23 +383,33 @@ def noise_marks(scanned: DataFrame, model: Model) -> DataFrame:
 
 #: a header is so unlikely to come as often in a file by chance
 CHANCE = 1e-5
+#: a mark on this share of a file's chunks is likely that file's own header
+OWN_SHARE = 0.25
+
+
+def _log_factorial(k: Column) -> Column:
+    """ln k!, exact to 20 and by Stirling's series beyond."""
+    k = k.cast("double")
+    series = k * F.log(k) - k + 0.5 * F.log(2 * math.pi * k) + 1 / (12 * k)
+    return F.when(k <= 20, F.log(F.factorial(F.least(k, F.lit(20)).cast("int")).cast("double"))).otherwise(series)
 
 
 def header_anchors(marks: DataFrame, chunks_of_file: DataFrame) -> DataFrame:
     """(file_id, anchor) of running headers: on at least three chunks of the
-    file, and far more often than in other files. The chance of that number is
-    bounded by a Poisson tail with the rate outside the file."""
+    file, and far more often than by chance. The chance of that number is
+    bounded by a Poisson tail with the rate outside the file; files that have
+    the mark as a header of their own tell nothing of chance and aren't counted."""
     seen = marks.filter("anchor is not null").select("file_id", "anchor", "chunk_id").distinct()
-    own = seen.groupBy("file_id", "anchor").agg(F.count("*").alias("k"))
-    everywhere = own.groupBy("anchor").agg(F.sum("k").alias("all"))
+    own = seen.groupBy("file_id", "anchor").agg(F.count("*").alias("k")).join(chunks_of_file, "file_id")
+    own = own.withColumn("stray", F.when((F.col("k") >= 3) & (F.col("k") >= OWN_SHARE * F.col("n")), 0).otherwise(F.col("k")))
+    everywhere = own.groupBy("anchor").agg(F.sum("stray").alias("all"))
     total = chunks_of_file.agg(F.sum("n").alias("total"))
-    rate = (F.col("all") - F.col("k") + 0.5) / (F.col("total") - F.col("n") + 1)
+    rate = (F.col("all") - F.col("stray") + 0.5) / (F.col("total") - F.col("n") + 1)
     expected = F.col("n") * rate
-    log_tail = F.col("k") * F.log(expected) - expected - F.log(F.factorial(F.least("k", F.lit(20)).cast("int")).cast("double"))
+    log_tail = F.col("k") * F.log(expected) - expected - _log_factorial(F.col("k"))
     return (
         own.filter("k >= 3")
         .join(everywhere, "anchor")
-        .join(chunks_of_file, "file_id")
         .crossJoin(F.broadcast(total))  # one row
         .filter((log_tail < math.log(CHANCE)) & (expected < F.col("k") / 2))
         .select("file_id", "anchor")

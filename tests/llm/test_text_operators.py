@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import os
 import random
 import unicodedata
@@ -143,6 +144,20 @@ def test_scanning_noise(spark):
     assert scanned.found_noise(c.limit(0), p).count() == 0
 
 
+def test_headers_of_hot_files_and_on_few_chunks(spark):
+    """(file, anchor): chunks with it. The hot file has a third of all chunks."""
+    sizes = {"hot": 1000, "small": 12, "long": 30, "letter": 4} | {f"other{i}": 20 for i in range(5)} | {f"f{i}": 5 for i in range(400)}
+    on = {("hot", "red | norte"): 800, ("small", "acta - zona"): 3, ("long", "acta - sur"): 3, ("letter", "fecha 19"): 3, ("hot", "fecha 19"): 15}
+    on |= {("f1", "red | norte"): 1, ("f2", "red | norte"): 1} | {(f"other{i}", "acta - zona"): 12 for i in range(5)} | {(f"f{i}", "fecha 19"): 1 for i in range(40)}
+    marks = [(f"{f}-{i}", f, None, a, None) for (f, a), k in on.items() for i in range(k)]
+    m = spark.createDataFrame(marks, "chunk_id string, file_id string, kind string, anchor string, line string")
+    n = spark.createDataFrame(list(sizes.items()), "file_id string, n long")
+    got = {tuple(r) for r in scanned.header_anchors(m, n).collect()}
+    assert got == {("hot", "red | norte"), ("small", "acta - zona"), ("long", "acta - sur")} | {(f"other{i}", "acta - zona") for i in range(5)}
+    k = spark.createDataFrame([(3,), (20,), (21,), (100,), (5000,)], "k long")
+    assert [r[0] for r in k.select(scanned._log_factorial(k.k)).collect()] == pytest.approx([math.lgamma(x + 1) for x in (3, 20, 21, 100, 5000)])
+
+
 def test_personal_information(spark):
     known = [("NAME", "Ana Toro"), ("NAME", "Ana Lago"), ("NAME", "Luz Toro Lago"), ("NAME", "Luz Mora"), ("NAME", "Toro Mora, Luz"), ("NAME", "Mora Lago, Ana"), ("LOCATION", "Alto Mora"), ("NAME", None)]
     e = spark.createDataFrame([(str(i), *x) for i, x in enumerate(known)], "entity_id string, entity_type string, text string")
