@@ -126,20 +126,62 @@ class Index:
         if len(runs) < GRAM:
             return []
         ids = np.where(ids < 0, -2 - np.arange(len(ids)), ids)  # unknown words equal nothing
-        out = []
+        stretches = []
         for item, pairs in self.hits(ids).items():
-            item_id, passage = self.items[item]
-            best = leak_of(ids, passage, pairs)
-            if best:
-                out.append((item_id, *best))
-        return best_owners(out)
-
-
-def leak_of(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> tuple[int, int, int] | None:
-    """The longest stretch that the hits extend to, if it is a leak:
-    (item words covered, edits, position in the text)."""
+            stretches += [Stretch(item, *x) for x in stretches_of(ids, self.items[item][1], pairs)]
+        best: dict[int, Stretch] = {}
+        for one in self.unowned(ids, stretches):
+            if one.item not in best or one.covered > best[one.item].covered:
+                best[one.item] = one
+        return [(self.items[x.item][0], x.covered, x.edits, x.first) for x in best.values()]
+
+    def unowned(self, text: np.ndarray, stretches: list[Stretch]) -> list[Stretch]:
+        """The stretches of one text without those that lie within a stretch of
+        another item with clearly fewer edits: items made alike share their
+        common phrases. Items that fit about as well are all kept."""
+        kept = []
+        for one in stretches:
+            if one.edits >= CLEARLY_FEWER:
+                part = text[one.first : one.last + 1]
+                rivals = {x.item for x in stretches if x.item != one.item and x.first - LOOSE_END <= one.first and one.last <= x.last + LOOSE_END}
+                if any(edits_within(part, self.items[x][1]) <= one.edits - CLEARLY_FEWER for x in rivals):
+                    continue
+            kept.append(one)
+        return kept
+
+
+@dataclass(frozen=True)
+class Stretch:
+    """A leak of one item (by its place in the block): item words covered, edits,
+    first and last word of the text."""
+
+    item: int
+    covered: int
+    edits: int
+    first: int
+    last: int
+
+
+#: a rival owns a stretch that it fits with so many edits less, but for so many words at either end
+CLEARLY_FEWER = 2
+LOOSE_END = 2
+
+
+def edits_within(part: np.ndarray, item: np.ndarray) -> int:
+    """The least edits that make some run of the item's words of the part."""
+    places = np.arange(len(item) + 1)
+    row = np.zeros(len(item) + 1, dtype=np.int64)
+    for i, word in enumerate(part):
+        step = np.concatenate([[i + 1], np.minimum(row[1:] + 1, row[:-1] + (item != word))])
+        row = np.minimum.accumulate(step - places) + places
+    return int(row.min())
+
+
+def stretches_of(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    """All stretches that the hits extend to and that are leaks:
+    (item words covered, edits, first and last word of the text)."""
     need = min(LEAST_WORDS, len(item))
-    best = None
+    found = set()
     # a leak of n words keeps at least n - GRAM + 1 - GRAM * edits of its k-grams;
     # hits on one band of the alignment are tried once
     tried: list[tuple[int, int, int]] = []
@@ -150,9 +192,9 @@ def leak_of(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) ->
             continue
         covered, edits, first, last = extend(text, item, p, q)
         tried.append((first, last, p - q))
-        if covered >= need and edits <= covered * MOST_EDITS + 0.5 and (best is None or covered > best[0]):
-            best = (covered, edits, first)
-    return best
+        if covered >= need and edits <= covered * MOST_EDITS + 0.5:
+            found.add((covered, edits, first, last))
+    return sorted(found)
 
 
 def worth_extending(text: np.ndarray, item: np.ndarray, p: int, q: int, need: int) -> bool:
@@ -173,23 +215,6 @@ def worth_extending(text: np.ndarray, item: np.ndarray, p: int, q: int, need: in
     return bool((sums[need:] - sums[:-need]).max() >= need - edits)
 
 
-def best_owners(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Leaks of one text, without those that share most of their stretch with a
-    clearly better one: items made alike overlap in their common phrases. Items
-    that fit a stretch equally well are all kept."""
-    kept: list[tuple[int, int, int, int]] = []
-    for leak in sorted(found, key=lambda x: (-_score(x), x[0])):
-        a, b = leak[3], leak[3] + leak[1]
-        rivals = [k for k in kept if _score(leak) < 0.9 * _score(k)]
-        if sum(max(0, min(b, k[3] + k[1]) - max(a, k[3])) for k in rivals) <= leak[1] / 2:
-            kept.append(leak)
-    return kept
-
-
-def _score(leak: tuple[int, int, int, int]) -> int:
-    return leak[1] - (EDIT_COST + 1) * leak[2]
-
-
 def extend(text: np.ndarray, item: np.ndarray, p: int, q: int) -> tuple[int, int, int, int]:
     """Extends a hit both ways: (item words covered, edits, first and last text word)."""
     right_q, right_p, right_edits = _one_way(text[p + GRAM :], item[q + GRAM :])

@@ -120,6 +120,29 @@ def test_leaks_whole_partial_and_changed(spark):
     assert leakage.leaked(d, t.limit(0)).count() == 0 and leakage.leaked(d.limit(0), t).count() == 0
 
 
+def test_a_better_item_owns_only_what_it_clearly_fits_better():
+    rng = random.Random(5)
+    a, b = [[f"{c}{i}" for i in range(60)] for c in "ab"]
+    other = [f"x{i}" for i in range(200)]
+
+    def alike(changed, n=18):
+        """An item that holds n words of a with some changed, among its own words."""
+        part = a[20 : 20 + n]
+        for k in changed:
+            part[k] = f"c{k}"
+        return b[:20] + part + b[20:]
+
+    def found(text, item):
+        index = leakage.Index.build([(1, " ".join(a)), (2, " ".join(item)), (3, " ".join(other))])
+        return {x[0] for x in index.leaks(text)}
+
+    noise = [rng.choice(other) for _ in range(30)]
+    assert found(a, alike([5, 9, 13])) == {1}  # clearly worse, and nowhere else
+    assert found(a, alike([9])) == {1, 2}  # about as good
+    assert found(a + noise + b[30:46], alike([5, 9, 13])) == {1, 2}  # also elsewhere, in a shorter stretch
+    assert found(a[:30] + noise, a[:30] + b) == {1, 2}
+
+
 PAGES = "file_id string, page_number int, method string, updated_at timestamp"
 CHUNKS = "chunk_id string, file_id string, chunk_index int, page_start int, page_end int, text string, method string, updated_at timestamp"
 
