@@ -37,7 +37,8 @@ CONFUSED = math.log(0.002)
 #: a word or word pair of the model makes up at least this share of the corpus,
 #: which bounds the model by a million words and half a million pairs
 WORD_SHARE, PAIR_SHARE = 1e-6, 2e-6
-#: at most so many confusions in a word, which has at least so many characters
+#: at most so many confusions in a word, which has at least so many characters;
+#: with a digit one less, as such a word can't be right unless it's a code
 MOST_EDITS = 3
 LEAST_LENGTH = 4
 
@@ -52,6 +53,10 @@ _COUNTED = re.compile(rf"(?<!\w){_LETTER}+(?:-{_LETTER}+)*(?!\w)")
 _TOKEN = re.compile(r"[^\W_]+")
 _ADDRESS_SIGN = re.compile(r"@|＠|://|\[at\]|\(arroba\)")
 _BLANK = re.compile(r"\s|\Z")
+#: short words with a digit that may be misread stand free and are no ordinals
+_BEFORE_FREE = re.compile(r"(?:\A|[\s(\[«\"'“¿¡])\Z")
+_AFTER_FREE = re.compile(r"[.,;:)\]»\"'”?!]*(?:\s|\Z)")
+_ORDINAL = re.compile(r"\d(?:er|[rdtmvn][oa]|st|nd|rd|th)\Z")
 
 _NUMBERED = r"(?:p[áa][gq](?:[il1]na|\.)?|hoja|page)\s*\d{1,4}(?:\s*(?:de|/|of)\s*\d{1,4})?"
 _DASHED = r"[—–·•-]\s*\d{1,4}\s*[—–·•-]|\[\d{1,4}\]|\d{1,4}\s*/\s*\d{1,4}"
@@ -158,7 +163,9 @@ class Model:
         if read in self._memo:
             return self._memo[read]
         found: dict[str, float] = {}
-        if any(c.isalpha() for c in read) and LEAST_LENGTH <= len(read) <= 40 and sum(c.isdigit() for c in read) <= MOST_EDITS:
+        digits = sum(c.isdigit() for c in read)
+        least = LEAST_LENGTH - 1 if digits and not _ORDINAL.match(read) else LEAST_LENGTH
+        if any(c.isalpha() for c in read) and least <= len(read) <= 40 and digits <= MOST_EDITS:
             stack = [(0, "", 0)]
             while stack:
                 i, made, edits = stack.pop()
@@ -239,7 +246,7 @@ class Model:
             found = [m for m in _TOKEN.finditer(lower, a, b)]
             if not any(m.group() in doubtful for m in found):
                 continue
-            found = [m for m in found if not any(s <= m.start() < e for s, e in masked)]
+            found = [m for m in found if not any(s <= m.start() < e for s, e in masked) and (len(m.group()) >= LEAST_LENGTH or _stands_free(lower, m))]
             read = [m.group() for m in found]
             for m, word in zip(found, self.decode(read), strict=True):
                 if word != m.group():
@@ -252,6 +259,13 @@ class Model:
         return ("".join([*parts, text[at:]]) if apply else text), changed
 
 
+def _stands_free(text: str, m: re.Match) -> bool:
+    """Whether a short word is no piece of a code; words without digits are none."""
+    if not any(c.isdigit() for c in m.group()):
+        return True
+    return bool(_BEFORE_FREE.search(text, max(0, m.start() - 1), m.start()) and _AFTER_FREE.match(text, m.end()))
+
+
 def _like(read: str, word: str) -> str:
     if read.isupper() and len(read) > 1:
         return word.upper()

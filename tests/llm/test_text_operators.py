@@ -167,6 +167,15 @@ def test_scanning_noise(spark):
     assert scanned.found_noise(c.limit(0), p).count() == 0
 
 
+def test_short_words_with_digits_are_misread():
+    words = {w: 50 for w in "por los del ira bis oficina pasa taller".split()}
+    model = scanned.Model(words, {("taller", "por"): 20, ("por", "los"): 20}, 10_000)
+    assert model.misread("El taller p0r 1os de1 taller.", apply=True) == ("El taller por los del taller.", 3)
+    assert scanned.noise_kinds("Pasa (p0r) oficina", model) == ["misread"]
+    for kept in ("la 1ra oficina", "fa/de1+a0/p0r+bb", "mi-de1 x1", "pasa p07 x", "ana@de1.cl"):
+        assert model.misread(kept, apply=True) == (kept, 0)
+
+
 def test_headers_of_hot_files_and_on_few_chunks(spark):
     """(file, anchor): chunks with it. The hot file has a third of all chunks."""
     sizes = {"hot": 1000, "small": 12, "long": 30, "letter": 4} | {f"other{i}": 20 for i in range(5)} | {f"f{i}": 5 for i in range(400)}
