@@ -224,6 +224,13 @@ def extend(text: np.ndarray, item: np.ndarray, p: int, q: int) -> tuple[int, int
 
 #: a match earns one, an edit costs this; a branch this far below its best is given up
 EDIT_COST, GIVE_UP = 3, 9
+#: longest run of added or missing words; words past the second of a run cost one each.
+#: A leak with a longer run has 15 words on one side and is found by these
+MOST_RUN = 5
+
+
+def _run_cost(n: int) -> int:
+    return EDIT_COST * min(n, 2) + max(0, n - 2)
 
 
 def _one_way(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
@@ -232,10 +239,12 @@ def _one_way(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     A banded alignment over item words; state: offset between the two -> (score, edits).
     """
     band = {0: (0, 0)}
+    earlier: list[dict[int, tuple[int, int]]] = []  # the bands of the last words, for runs of missing words
     best, best_score = (0, 0, 0), 0
     n, m = len(text), len(item)
     for i in range(m):
         word = item[i]
+        earlier = [band, *earlier[:MOST_RUN]]
         step: dict[int, tuple[int, int]] = {}
         for offset, (score, edits) in band.items():
             j = i + offset
@@ -245,13 +254,20 @@ def _one_way(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
                 if j < n:
                     _keep(step, offset, score - EDIT_COST + 1, edits + 1)  # changed
                 _keep(step, offset - 1, score - EDIT_COST, edits + 1)  # missing in the text
-                for added in (1, 2):
+                for added in range(1, MOST_RUN + 1):
                     if 0 <= j + added < n and text[j + added] == word:
-                        _keep(step, offset + added, score + 1 - EDIT_COST * added, edits + added)
+                        _keep(step, offset + added, score + 1 - _run_cost(added), edits + added)
+        for missing in range(3, len(earlier)):
+            for offset, (score, edits) in earlier[missing].items():
+                j = i - missing + offset
+                if 0 <= j < n and text[j] == word:
+                    _keep(step, offset - missing, score + 1 - _run_cost(missing), edits + missing)
         top = max((s for s, _ in step.values()), default=-1)
         band = {o: v for o, v in step.items() if v[0] >= max(top - GIVE_UP, best_score - GIVE_UP)}
         if not band:
-            break
+            if not any(earlier[:MOST_RUN]):
+                break
+            continue
         offset, (score, edits) = max(band.items(), key=lambda x: (x[1][0], -abs(x[0])))
         if score > best_score:
             best_score, best = score, (i + 1, i + 1 + offset, edits)

@@ -120,6 +120,18 @@ def test_leaks_whole_partial_and_changed(spark):
     assert leakage.leaked(d, t.limit(0)).count() == 0 and leakage.leaked(d.limit(0), t).count() == 0
 
 
+@pytest.mark.parametrize(("left", "run", "right"), [(9, 3, 9), (4, 3, 14), (14, 3, 4), (12, 4, 12), (14, 5, 14)])
+def test_runs_of_added_and_missing_words(left, run, right):
+    item = [f"w{i}" for i in range(60)]
+    index = leakage.Index.build([(1, " ".join(item))])
+    noise = [f"x{i}" for i in range(40)]
+    added = noise[:15] + item[5 : 5 + left] + noise[20 : 20 + run] + item[5 + left : 5 + left + right] + noise[25:]
+    missing = noise[:15] + item[5 : 5 + left] + item[5 + left + run : 5 + left + run + right] + noise[15:]
+    assert [x[1:3] for x in index.leaks(added)] == [(left + right, run)]
+    assert [x[1:3] for x in index.leaks(missing)] == [(left + run + right, run)]
+    assert not index.leaks(noise[:15] + item[5:14] + noise[15:18] + item[30:34] + noise[18:])
+
+
 def test_a_better_item_owns_only_what_it_clearly_fits_better():
     rng = random.Random(5)
     a, b = [[f"{c}{i}" for i in range(60)] for c in "ab"]
