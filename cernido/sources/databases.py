@@ -45,18 +45,37 @@ def row_estimate(estimate):
     return F.when(estimate >= 0, estimate)
 
 
-def read_pages(spark: SparkSession, statement: str, fetch: Callable[[str, int, int], str], total: int, page_size: int = 1000, schema: str = "items string") -> DataFrame:
+def read_pages(
+    spark: SparkSession, statement: str, fetch: Callable[[str, int, int], str], total: int, page_size: int = 1000, schema: str = "items string", max_pages: int = 10_000
+) -> DataFrame:
     """A paged REST-SQL service: ``fetch(statement, offset, limit)`` gives a JSON
-    text with ``items``. Offsets are partitions, so pages are read in parallel
-    on the executors; ``total`` comes from the service's count."""
-    offsets = spark.range(0, max(total, 0), page_size, max(1, -(-total // page_size)))
+    text with ``items`` and ``hasMore``. Ranges of ``page_size`` offsets are
+    partitions, so pages are read in parallel on the executors; ``total`` comes
+    from the service's count. A service may give fewer rows than asked for: each
+    range goes on from the rows received until it is full or ``hasMore`` is
+    false, and the last range also past ``total`` while ``hasMore`` is true.
+    Fails where a page doesn't advance or a range takes over ``max_pages``."""
+    last = (max(total, 1) - 1) // page_size * page_size
+    offsets = spark.range(0, last + 1, page_size, last // page_size + 1)
+
+    def items_from(start: int) -> Iterator:
+        at, end = start, min(start + page_size, total)
+        for _ in range(max_pages):
+            page = json.loads(fetch(statement, at, page_size if start == last else end - at))
+            items, more = page["items"], page.get("hasMore")
+            yield from items if start == last else items[: end - at]
+            at += len(items)
+            if more is False or (at >= end and not (more and start == last)):
+                return
+            if not items:
+                raise ValueError(f"the service has more rows but gave none at offset {at}")
+        raise ValueError(f"more than {max_pages} pages from offset {start}")
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for batch in batches:
-            rows = [json.dumps(item, sort_keys=True) for at in batch["id"] for item in json.loads(fetch(statement, int(at), page_size))["items"]]
-            yield pd.DataFrame({"item": rows})
+            yield pd.DataFrame({"item": [json.dumps(item, sort_keys=True) for at in batch["id"] for item in items_from(int(at))]}, dtype=object)
 
     raw = offsets.mapInPandas(run, "item string")
     return raw if schema == "items string" else raw.select(F.from_json("item", schema).alias("r")).select("r.*")

@@ -68,6 +68,29 @@ def test_guard_and_paged_service(spark):
     assert databases.read_pages(spark, "q", fetch, 25, 10, "n int").count() == 25
 
 
+def test_paged_service_that_gives_fewer_rows(spark):
+    def capped(rows, cap, stuck=False):
+        def fetch(statement, offset, limit):
+            import json
+
+            n = 0 if stuck and offset else min(limit, cap)
+            return json.dumps({"items": [{"n": i} for i in range(offset, min(offset + n, rows))], "hasMore": offset + n < rows})
+
+        return fetch
+
+    def read(*args, **more):
+        return sorted(r.n for r in databases.read_pages(spark, "q", *args, "n int", **more).collect())
+
+    assert read(capped(25, 4), 25, 10) == list(range(25))
+    assert read(capped(33, 4), 25, 10) == list(range(33))  # rows that came after the count
+    assert read(capped(17, 4), 25, 10) == list(range(17))  # rows that went
+    assert read(capped(0, 4), 0, 10) == []
+    with pytest.raises(Exception, match="gave none at offset"):
+        read(capped(25, 4, stuck=True), 10, 10)
+    with pytest.raises(Exception, match="more than 2 pages"):
+        read(capped(25, 4), 25, 10, max_pages=2)
+
+
 def test_contracts_and_drain(spark, tmp_path):
     rows = [("r", "f", '{"event_type": "file.routed", "file_id": "f", "attempt": 1}'), ("r", "f", "no json"), ("r", "f", None), ("r", "g", '{"event_type": "file.routed", "file_id": "f", "attempt": 1}')]
     df = spark.createDataFrame(rows, "run_id string, file_id string, payload string")
