@@ -301,6 +301,18 @@ def match_rates(spark, d):
     return out.filter("entity_type IN ('EMAIL', 'DATE', 'TECHNICAL', 'GENDER_IDENTITY')")
 
 
+RATED = [
+    *DISCOVERED, "ingestion_runs", "file_snapshot_tombstones", "text_extraction_pages", "text_chunks_staging", "entity_extraction_entities", "documents",
+    "eval_items", "chunk_limits", "region", "lineitem", "events", "embeddings",
+]
+
+
+def match_rates_all(spark, d):
+    """How many values of the columns of all tables pass each check."""
+    frames = {t: table(spark, d, t) for t in RATED}
+    return discovery.match_rates(frames, {t: discovery.profile_of(df, t) for t, df in frames.items()}, TODAY)
+
+
 _RATES = r"""WITH v AS (
   SELECT 'files' AS table_name, column_name, trim(left(trim(value), 256)) AS x FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
     SELECT * REPLACE (CAST(discovered_at AS TIMESTAMP) AS discovered_at, CAST(updated_at AS TIMESTAMP) AS updated_at) FROM files)) ON COLUMNS(*) INTO NAME column_name VALUE value)
@@ -594,6 +606,7 @@ QUERIES = {
     "value_dedupe": (value_dedupe, _DEDUPE),
     "header_types": (header_types, None),
     "match_rates": (match_rates, _RATES),
+    "match_rates_all": (match_rates_all, None),
     "column_findings": (column_findings, None),
     "findings_by_level": (findings_by_level, None),
     "findings_projection": (findings_projection, None),

@@ -123,3 +123,16 @@ def test_registered_queries_equal_their_sql(spark):
         have = [x[0] for x in cursor.description]
         want = sorted(repr([row[have.index(c)] for c in cols]) for row in cursor.fetchall())
         assert sorted(have) == cols and got == want, name
+
+
+def test_all_checks_are_registered_over_all_tables(spark):
+    import __spark_entry__ as entry
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.exists(d):
+        pytest.skip("test data not here")
+    rows = entry.queries()["match_rates_all"](spark, d).collect()
+    assert {r.table_name for r in rows} == {n.removesuffix(".parquet") for n in os.listdir(d)}
+    assert len({r.entity_type for r in rows}) > 4 and max(r.matched for r in rows if r.table_name == "text_extraction_pages") > 0
+    some = {(r.table_name, r.column_name, r.entity_type): (r.matched, r.sampled) for r in rows}
+    assert all(some[r.table_name, r.column_name, r.entity_type] == (r.matched, r.sampled) for r in entry.queries()["match_rates"](spark, d).collect())
