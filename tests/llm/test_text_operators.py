@@ -244,6 +244,19 @@ def test_truncated_texts(spark):
     assert truncation.cut_texts(d.limit(0)).count() == 0
 
 
+def test_truncated_texts_long_last_lines(spark):
+    """A last line of nine words that ends several texts is a usual ending; a
+    cut line that the same words go on after elsewhere is none."""
+    sign = "Oficina de partes del servicio de salud del norte"
+    body = "El equipo de salud del norte grande revisó las fichas de la oficina de partes"
+    docs = [(i, f"{body} número {i}.\n{sign}", "A") for i in range(4)]
+    docs += [(10 + i, f"{body} número {i}.\n{body} en la semana {i}.", "A") for i in range(300)]
+    docs += [(500 + i, f"Nota {i}.\n{body}", "b") for i in range(4)]
+    docs += [(600, "Aviso｜fin.\n\n  El equipo de salud\u00a0del norte gran[…]", "b")]
+    d = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    assert {r.doc_id for r in truncation.cut_texts(d).collect()} == {500, 501, 502, 503, 600}
+
+
 def test_oversized_chunks(spark):
     rows = [("a", "f", 1, 1, 2, "word " * 60, "ocr", TIME), ("b", "f", 2, 2, 2, "x" * 301, None, TIME), ("c", "f", 3, 3, 3, "y " * 40, "ocr", TIME), ("d", "f", 4, 9, 9, "z" * 900, None, TIME),
             ("a", "f", 1, 1, 2, "old " * 90, "ocr", None), ("e", "f", 5, 1, 1, None, "ocr", TIME)]
