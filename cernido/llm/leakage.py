@@ -2,7 +2,9 @@
 
 Texts are compared as words without case, accents and punctuation. Of every
 window of neighbouring word k-grams the one with the least hash is kept, so any
-shared span of WINDOW + GRAM - 1 words has a fingerprint in common. Each hit is
+shared span of WINDOW + GRAM - 1 = 3 words has a fingerprint in common. A stretch
+of 15 words with three edits, the most that one word in six allows, keeps a run
+of three equal words, as longer ones do, so every leak has a hit. Each hit is
 extended in both texts by an alignment that allows changed, missing and added
 words.
 """
@@ -14,15 +16,17 @@ import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cernido.tables import spread
 
-GRAM = 3
+#: no larger, or leaks with evenly spread edits would go without a hit
+GRAM = 2
 WINDOW = 2
 #: a leak covers so many words of the item, or the whole passage if that is shorter
 LEAST_WORDS = 15
@@ -45,11 +49,38 @@ class _Fold(dict):
 _FOLD = _Fold()
 
 
+def _latin_table() -> tuple[bytes, re.Pattern]:
+    """The fold of Latin-1 byte for byte, all but letters and digits as blanks,
+    and the characters whose fold is longer."""
+    plain, longer = bytearray(b" " * 256), []
+    for i in range(256):
+        folded = _FOLD[i]
+        if _WORD.fullmatch(folded):
+            if len(folded) == 1 and ord(folded) < 256:
+                plain[i] = ord(folded)
+            else:
+                longer.append(chr(i))
+        elif _WORD.search(folded) or not folded:
+            longer.append(chr(i))
+    return bytes(plain), re.compile(f"[{re.escape(''.join(longer))}]")
+
+
+_LATIN, _NOT_BY_BYTE = _latin_table()
+#: typographic signs, which no word holds
+_SIGNS = re.compile("[\u2010-\u2027\u2030-\u205e\u20ac]")
+
+
 def words(text: str | None) -> list[str]:
-    """The words of a text without case, accents and punctuation."""
+    """The words of a text without case, accents and punctuation. Latin text goes
+    through a table of bytes."""
     if not text:
         return []
-    return _WORD.findall(text.lower() if text.isascii() else text.translate(_FOLD))
+    try:
+        if not text.isascii() and _NOT_BY_BYTE.search(text):
+            return _WORD.findall(text.translate(_FOLD))
+        return _SIGNS.sub(" ", text).encode("latin-1").translate(_LATIN).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(text.translate(_FOLD))
 
 
 def gram_hashes(ids: np.ndarray) -> np.ndarray:
@@ -69,24 +100,44 @@ def winnow(hashes: np.ndarray) -> np.ndarray:
     n = len(hashes)
     if n <= WINDOW:
         return np.array([int(np.argmin(hashes))]) if n else np.zeros(0, dtype=np.int64)
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
-    return np.unique(np.arange(n - WINDOW + 1) + np.argmin(windows, axis=1))
+    first = np.arange(n - WINDOW + 1)
+    best = first
+    for i in range(1, WINDOW):
+        best = np.where(hashes[first + i] < hashes[best], first + i, best)
+    kept = np.zeros(n, dtype=bool)
+    kept[best] = True
+    return np.flatnonzero(kept)
+
+
+def _runs(values: np.ndarray, n: int) -> np.ndarray:
+    """All runs of n neighbours, as a view."""
+    return np.lib.stride_tricks.as_strided(values, (len(values) - n + 1, n), values.strides * 2)
+
+
+#: hits are weighed against the text in blocks of so many, which bounds the memory for a long text
+HITS_AT_ONCE = 8192
 
 
 @dataclass
 class Index:
-    """Fingerprints of a block of test items."""
+    """Fingerprints of a block of test items. ``flat`` has the words of all items
+    with blanks between; ``base`` is where each item starts in it."""
 
     vocabulary: dict[str, int]
     items: list[tuple[int, np.ndarray]]
     hashes: np.ndarray
     owner: np.ndarray
     at: np.ndarray
+    flat: np.ndarray
+    base: np.ndarray
+    least: np.ndarray
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]]) -> Index:
         vocabulary: dict[str, int] = {}
         items, hashes, owner, at = [], [], [], []
+        blank = np.full(LEAST_WORDS + GRAM, -1, dtype=np.int32)
+        flat, base, size = [blank], [], len(blank)
         for item_id, passage in rows:
             ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(passage)], dtype=np.int64)
             grams = gram_hashes(ids)
@@ -95,39 +146,66 @@ class Index:
             owner.append(np.full(len(kept), len(items), dtype=np.int64))
             at.append(kept)
             items.append((item_id, ids))
+            flat += [ids, blank]
+            base.append(size)
+            size += len(ids) + len(blank)
         joined = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
         order = np.argsort(joined, kind="stable")
         empty = np.zeros(0, dtype=np.int64)
-        return cls(vocabulary, items, joined[order], (np.concatenate(owner) if owner else empty)[order], (np.concatenate(at) if at else empty)[order])
-
-    def hits(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """Item -> (position in the text, position in the item) of shared fingerprints."""
+        need = np.array([min(LEAST_WORDS, len(ids)) for _, ids in items], dtype=np.int64)
+        return cls(
+            vocabulary, items, joined[order], (np.concatenate(owner) if owner else empty)[order], (np.concatenate(at) if at else empty)[order],
+            np.concatenate(flat).astype(np.int32), np.array(base, dtype=np.int64), need - (need * MOST_EDITS + 0.5).astype(np.int64),
+        )
+
+    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in the text, position in the item, item) of shared fingerprints
+        that are worth extending."""
         grams = gram_hashes(ids)
+        none = np.zeros(0, dtype=np.int64)
         if not len(grams) or not len(self.hashes):
-            return {}
+            return none, none, none
         kept = winnow(grams)
         mine = grams[kept]
         low = np.searchsorted(self.hashes, mine)
-        shared = np.nonzero((low < len(self.hashes)) & (self.hashes[np.minimum(low, len(self.hashes) - 1)] == mine))[0]
-        found: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        shared = np.nonzero(self.hashes[np.minimum(low, len(self.hashes) - 1)] == mine)[0]
         if not len(shared):
-            return found
-        high = np.searchsorted(self.hashes, mine[shared], side="right")
-        for k, a, b in zip(shared, low[shared], high, strict=True):
-            for j in range(a, b):
-                found[int(self.owner[j])].append((int(kept[k]), int(self.at[j])))
-        return found
+            return none, none, none
+        low = low[shared]
+        times = np.searchsorted(self.hashes, mine[shared], side="right") - low
+        place = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+        p, q, owner = np.repeat(kept[shared], times), self.at[place], self.owner[place]
+        good = np.concatenate([self.worth_extending(ids, p[i : i + HITS_AT_ONCE], q[i : i + HITS_AT_ONCE], owner[i : i + HITS_AT_ONCE]) for i in range(0, len(p), HITS_AT_ONCE)])
+        return p[good], q[good], owner[good]
+
+    def worth_extending(self, text: np.ndarray, p: np.ndarray, q: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Whether some LEAST_WORDS item words around each hit can be a leak: all
+        but its edits must have their like at most as many words off the hit's
+        diagonal. All hits are weighed together."""
+        edits = int(LEAST_WORDS * MOST_EDITS + 0.5)
+        span = 2 * LEAST_WORDS + GRAM - 2
+        margin = np.full(LEAST_WORDS + edits, -(1 << 31), dtype=np.int32)
+        padded = np.concatenate([margin, text.astype(np.int32), margin, margin])
+        part = _runs(self.flat, span)[self.base[owner] + q - (LEAST_WORDS - 1)]
+        near = _runs(padded, span + 2 * edits)[p + len(margin) - (LEAST_WORDS - 1) - edits]
+        same = part == near[:, :span]
+        for shift in range(1, 2 * edits + 1):
+            same |= part == near[:, shift : shift + span]
+        sums = np.cumsum(same, axis=1, dtype=np.int8)
+        best = np.maximum(sums[:, LEAST_WORDS - 1], (sums[:, LEAST_WORDS:] - sums[:, :-LEAST_WORDS]).max(axis=1))
+        return best >= self.least[owner]
 
     def leaks(self, text_words: list[str]) -> list[tuple[int, int, int, int]]:
         """(item_id, words covered in the item, edits, first word of the text)."""
-        known = self.vocabulary
-        ids = np.array([known.get(w, -1) for w in text_words], dtype=np.int64)
-        runs = np.nonzero(ids >= 0)[0]
-        if len(runs) < GRAM:
+        ids = np.fromiter(map(self.vocabulary.get, text_words, repeat(-1)), dtype=np.int64, count=len(text_words))
+        if np.count_nonzero(ids >= 0) < GRAM:
             return []
         ids = np.where(ids < 0, -2 - np.arange(len(ids)), ids)  # unknown words equal nothing
+        by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for p, q, item in zip(*map(np.ndarray.tolist, self.hits(ids)), strict=True):
+            by_item[item].append((p, q))
         stretches = []
-        for item, pairs in self.hits(ids).items():
+        for item, pairs in by_item.items():
             stretches += [Stretch(item, *x) for x in stretches_of(ids, self.items[item][1], pairs)]
         best: dict[int, Stretch] = {}
         for one in self.unowned(ids, stretches):
@@ -182,12 +260,9 @@ def stretches_of(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]
     (item words covered, edits, first and last word of the text)."""
     need = min(LEAST_WORDS, len(item))
     found = set()
-    # a leak of n words keeps at least n - GRAM + 1 - GRAM * edits of its k-grams;
     # hits on one band of the alignment are tried once
     tried: list[tuple[int, int, int]] = []
     for p, q in sorted(hits):
-        if not worth_extending(text, item, p, q, need):
-            continue
         if any(a <= p <= b and abs((p - q) - d) <= 12 for a, b, d in tried):
             continue
         covered, edits, first, last = extend(text, item, p, q)
@@ -197,24 +272,6 @@ def stretches_of(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]
     return sorted(found)
 
 
-def worth_extending(text: np.ndarray, item: np.ndarray, p: int, q: int, need: int) -> bool:
-    """Whether some ``need`` item words around the hit can be a leak: all but its
-    edits must have their like at most as many words off the hit's diagonal."""
-    edits = int(need * MOST_EDITS + 0.5)
-    low, high = max(0, q - need + 1), min(len(item), q + GRAM + need - 1)
-    part = item[low:high]
-    same = np.zeros(len(part), dtype=bool)
-    for shift in range(-edits, edits + 1):
-        start = p - q + low + shift
-        a, b = max(0, -start), min(len(part), len(text) - start)
-        if b > a:
-            same[a:b] |= part[a:b] == text[start + a : start + b]
-    sums = np.cumsum(np.concatenate([[0], same]))
-    if len(sums) <= need:
-        return bool(sums[-1] >= need - edits)
-    return bool((sums[need:] - sums[:-need]).max() >= need - edits)
-
-
 def extend(text: np.ndarray, item: np.ndarray, p: int, q: int) -> tuple[int, int, int, int]:
     """Extends a hit both ways: (item words covered, edits, first and last text word)."""
     right_q, right_p, right_edits = _one_way(text[p + GRAM :], item[q + GRAM :])
@@ -279,6 +336,9 @@ def _keep(step: dict[int, tuple[int, int]], offset: int, score: int, edits: int)
         step[offset] = (score, edits)
 
 
+FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("item_words", pa.int32()), ("edits", pa.int32())])
+
+
 def item_blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The test items in blocks of bounded size, read one by one."""
     block, size = [], 0
@@ -307,15 +367,15 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
     for block in item_blocks(items):
         shared = spark.sparkContext.broadcast(Index.build(block))
 
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 out = []
-                for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                     out += [(doc, item, covered, edits) for item, covered, edits, _ in index.leaks(words(text))]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "item_words", "edits"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out) if out else [()] * 4, FOUND.types, strict=True)], schema=FOUND)
 
-        part = rows.mapInPandas(run, "doc_id long, item_id long, item_words int, edits int")
+        part = rows.mapInArrow(run, "doc_id long, item_id long, item_words int, edits int")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "doc_id long, item_id long, item_words int, edits int")

@@ -202,6 +202,26 @@ def test_headers_of_hot_files_and_on_few_chunks(spark):
     assert [r[0] for r in k.select(scanned._log_factorial(k.k)).collect()] == pytest.approx([math.lgamma(x + 1) for x in (3, 20, 21, 100, 5000)])
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.integers(0, 10**6))
+def test_leaks_with_evenly_spread_edits(seed):
+    """Fifteen words with every fourth changed keep runs of three only; their
+    fingerprints must meet whatever the hashes."""
+    some = random.Random(seed)
+    item = [f"w{some.randrange(10**9)}" for _ in range(40)]
+    index = leakage.Index.build([(7, " ".join(item)), (8, "other words")])
+    quoted = [f"x{i}" if i % 4 == 3 else w for i, w in enumerate(item[10:25])]
+    found = index.leaks([f"y{i}" for i in range(some.randrange(30))] + quoted + ["end"])
+    assert [x[0] for x in found] == [7]
+    assert index.leaks([f"x{i}" if i % 3 == 2 else w for i, w in enumerate(item)]) == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_words_by_table_are_those_by_fold(text):
+    assert leakage.words(text) == leakage._WORD.findall(text.translate(leakage._FOLD))
+
+
 def test_personal_information(spark):
     known = [("NAME", "Ana Toro"), ("NAME", "Ana Lago"), ("NAME", "Luz Toro Lago"), ("NAME", "Luz Mora"), ("NAME", "Toro Mora, Luz"), ("NAME", "Mora Lago, Ana"), ("LOCATION", "Alto Mora"), ("NAME", None)]
     e = spark.createDataFrame([(str(i), *x) for i, x in enumerate(known)], "entity_id string, entity_type string, text string")
