@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cernido.tables import blank_to_null, latest
+from cernido.tables import blank_to_null, bounded_broadcast, latest
 
 CHAIN = ["user_id", "source_type", "source_scope_key"]
 
@@ -45,14 +45,13 @@ def completed_runs(runs: DataFrame) -> DataFrame:
 def listed_files(files: DataFrame, runs: DataFrame) -> DataFrame:
     """The files of completed runs with chain, seq and content; one row per file_id.
 
-    Joins on run_id; runs is small beside files, and Spark broadcasts it only
-    where its measured size is under the session's threshold.
+    The content is worked out before the rows are shuffled for the latest of each
+    file. Runs are broadcast where they are counted to be few, else both sides
+    are joined on run_id.
     """
-    rows = latest(files.select("file_id", "run_id", "source_uri", "checksum_sha256", "revision_key", "updated_at"), ["file_id"])
+    rows = latest(files.select("file_id", "run_id", "source_uri", content_version().alias("content"), "updated_at"), ["file_id"])
     known = completed_runs(runs)
-    return rows.join(known, "run_id").select(
-        "file_id", "source_uri", content_version().alias("content"), *known.columns
-    )
+    return rows.join(bounded_broadcast(known), "run_id").select("file_id", "source_uri", "content", *known.columns)
 
 
 def signed_cells(rows: DataFrame, key: list[str], fields: list[str], sign: int | Column) -> DataFrame:
@@ -120,5 +119,6 @@ def chain_diff(files: DataFrame, runs: DataFrame) -> DataFrame:
         F.struct(F.col("next_run_id").alias("pair"), F.lit(-1).alias("s")),
     )
     sided = listed.select("source_uri", "content", F.inline(roles)).filter("pair is not null")
-    cells = signed_cells(sided, ["pair", "source_uri"], ["content"], F.col("s")).distinct()
+    # hashed once on the key: unpivoting and both sums work within these partitions
+    cells = signed_cells(sided.repartition("pair", "source_uri"), ["pair", "source_uri"], ["content"], F.col("s")).distinct()
     return diff_cells(cells, ["pair", "source_uri"]).withColumnRenamed("pair", "run_id")
