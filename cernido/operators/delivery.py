@@ -55,37 +55,40 @@ def _converge(pairs: DataFrame, max_rounds: int = 40) -> DataFrame:
     raise RuntimeError("components did not converge")
 
 
-def with_message(outbox: DataFrame) -> DataFrame:
-    """Deliveries (delivery_no, published_at, message).
-
-    Two deliveries are of one message if they share an identifier, directly or
-    through other deliveries. Deliveries without any are messages of their own.
-    Ids that occur with one partner only never enter the component search:
-    each idempotency key is first joined to the least broker id it occurs with,
-    and only the broker ids that this links to another one go on.
+def rank() -> Column:
+    """The order of copies: the earliest published_at (missing is last), then delivery_no."""
+    return F.struct(F.col("published_at").isNull().alias("late"), "published_at", "delivery_no")
+
+
+def messages(nodes: DataFrame) -> DataFrame:
+    """(message, k, p, best) of ``message_nodes``: the identifier pairs that occur,
+    the message that each belongs to, and its best delivery by rank.
+
+    Deliveries are combined by their identifiers within the tasks first, so a
+    pair that a third of all rows carry is one row from there on, and rows
+    without identifiers, each a message of its own, meet in no join. Two
+    deliveries are of one message if they share an identifier, directly or
+    through other deliveries. Ids that occur with one partner only never enter
+    the component search: each idempotency key is first joined to the least
+    broker id it occurs with, and only the broker ids that this links to
+    another one go on.
     """
-    rows = message_nodes(outbox)
-    pairs = rows.filter("k is not null and p is not null").groupBy("k", "p").agg(F.lit(1).alias("one")).drop("one")
-    first = pairs.groupBy("k").agg(F.min("p").alias("least_p"), F.max("p").alias("most_p"))
+    some = F.col("k").isNotNull() | F.col("p").isNotNull()
+    pairs = nodes.filter(some).groupBy("k", "p").agg(F.min(rank()).alias("best"))
+    both = pairs.filter("k is not null and p is not null").select("k", "p")
+    first = both.groupBy("k").agg(F.min("p").alias("least_p"), F.max("p").alias("most_p"))
     several = first.filter("least_p <> most_p").select("k", "least_p")
-    links = pairs.join(several, "k").filter("p <> least_p").select(F.col("p").alias("a"), F.col("least_p").alias("b"))
+    links = both.join(several, "k").filter("p <> least_p").select(F.col("p").alias("a"), F.col("least_p").alias("b"))
     roots = _converge(links)
-    of_key = (
-        first.select("k", F.col("least_p").alias("node"))
-        .join(roots, "node", "left")
-        .select("k", F.coalesce("root", "node").alias("via_k"))
-    )
-    named = (
-        rows.join(of_key, "k", "left")
-        .join(roots.withColumnRenamed("node", "p").withColumnRenamed("root", "via_p"), "p", "left")
-    )
-    own: Column = F.coalesce(
-        F.concat(F.lit("p"), F.coalesce("via_p", "p")),
-        F.concat(F.lit("p"), F.col("via_k")),
-        F.concat(F.lit("k"), F.col("k")),
-        F.concat(F.lit("d"), F.col("delivery_no").cast("string")),
-    )
-    return named.select("delivery_no", "published_at", own.alias("message"))
+    # pairs with a broker id go by its root, keys alone by that of the least broker id they occur with
+    of_key = first.select("k", F.col("least_p").alias("p"))
+    alone = pairs.filter("p is null").drop("p").join(of_key, "k", "left")
+    placed = pairs.filter("p is not null").select("k", "p", "best", F.col("p").alias("node"))
+    placed = placed.unionByName(alone.filter("p is not null").select("k", F.lit(None).cast("string").alias("p"), "best", F.col("p").alias("node")))
+    rooted = placed.join(roots, "node", "left").select(F.concat(F.lit("p"), F.coalesce("root", "node")).alias("message"), "k", "p", "best")
+    lone_keys = alone.filter("p is null").select(F.concat(F.lit("k"), F.col("k")).alias("message"), "k", "p", "best")
+    own = nodes.filter(~some).select(F.concat(F.lit("d"), F.col("delivery_no").cast("string")).alias("message"), "k", "p", rank().alias("best"))
+    return rooted.unionByName(lone_keys).unionByName(own)
 
 
 def kept_copies(outbox: DataFrame) -> DataFrame:
@@ -93,8 +96,7 @@ def kept_copies(outbox: DataFrame) -> DataFrame:
     (missing is last), then the lowest delivery_no. The rank is a minimum, so
     it is combined before the shuffle and a message that holds a third of all
     deliveries costs one row a task. An empty table gives an empty one."""
-    rank = F.struct(F.col("published_at").isNull().alias("late"), "published_at", "delivery_no")
-    return with_message(outbox).groupBy("message").agg(F.min(rank).alias("best")).select("message", "best.delivery_no")
+    return messages(message_nodes(outbox)).groupBy("message").agg(F.min("best").alias("best")).select("message", "best.delivery_no")
 
 
 def repeated_deliveries(outbox: DataFrame) -> DataFrame:
@@ -106,18 +108,15 @@ def new_messages(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """The kept deliveries of ``batch`` of which no copy is stored yet.
 
     ``stored`` has the columns idempotency_key, pubsub_message_id and
-    queue_name of all deliveries taken before. A new delivery is known if any
-    delivery of its message, in the batch or before, was stored: stored rows
-    enter the component search with negative delivery numbers.
+    queue_name of all deliveries taken before. Whatever links a delivery of the
+    batch to a stored one, some delivery of its message within the batch shares
+    an identifier with a stored one; so components are sought in the batch only,
+    and its identifiers anti-joined against the stored ones.
     """
-    old = stored.select(
-        (-F.monotonically_increasing_id() - 1).alias("delivery_no"),
-        F.lit(None).cast("timestamp").alias("published_at"), "queue_name", *IDS,
-    )
-    cols = ["delivery_no", "published_at", "queue_name", *IDS]
-    rank = F.struct(F.col("published_at").isNull().alias("late"), "published_at", "delivery_no")
-    per = with_message(cut_lineage(old.unionByName(batch.select(*cols)))).groupBy("message").agg(
-        F.min(rank).alias("best"), F.min("delivery_no").alias("lowest")
-    )
-    fresh = per.filter("lowest >= 0").select("best.delivery_no")
+    per = cut_lineage(messages(message_nodes(batch)))
+    ids = per.select("message", F.explode(F.array(F.concat(F.lit("k"), "k"), F.concat(F.lit("p"), "p"))).alias("id")).filter("id is not null")
+    old = message_nodes(stored.withColumns({"delivery_no": F.lit(0), "published_at": F.lit(None).cast("timestamp")}))
+    old = old.select(F.explode(F.array(F.concat(F.lit("k"), "k"), F.concat(F.lit("p"), "p"))).alias("id")).filter("id is not null")
+    known = ids.join(old, "id", "left_semi").select("message").distinct()
+    fresh = per.groupBy("message").agg(F.min("best").alias("best")).join(known, "message", "left_anti").select("best.delivery_no")
     return batch.join(fresh, "delivery_no", "left_semi")
