@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cernido.operators.delivery import kept_copies, repeated_deliveries
-from cernido.operators.incremental import replay_new_or_changed
+from cernido.operators.delivery import kept_copies, new_messages, repeated_deliveries
+from cernido.operators.incremental import TargetState, publish_in_waves, replay_new_or_changed
 from cernido.operators.snapshots import chain_diff
-from cernido.tables import table
+from cernido.tables import scratch_path, table
 
 _LISTED = r"""
 WITH f AS (
@@ -41,6 +41,15 @@ def p2_by_run(spark: SparkSession, d: str) -> DataFrame:
     return todo.groupBy("run_id").agg(F.count("*").alias("pending_files"))
 
 
+def p2_published(spark: SparkSession, d: str) -> DataFrame:
+    """What the target holds after all completed runs went through it in waves."""
+    target = TargetState(spark, scratch_path(spark, "published"))
+    return publish_in_waves(table(spark, d, "files"), table(spark, d, "ingestion_runs"), target)
+
+
+_PUBLISHED = _LISTED + """SELECT user_id, source_type, source_scope_key, source_uri, content FROM listed
+QUALIFY row_number() OVER (PARTITION BY user_id, source_type, source_scope_key, source_uri ORDER BY seq DESC, content DESC NULLS LAST) = 1"""
+
 _P2 = _LISTED + """, x AS (
   SELECT run_id, file_id, content, lag(file_id) OVER w AS prior_file, lag(content) OVER w AS prior_content FROM listed
   WINDOW w AS (PARTITION BY user_id, source_type, source_scope_key, source_uri ORDER BY seq)
@@ -84,9 +93,16 @@ def p7_messages(spark: SparkSession, d: str) -> DataFrame:
     return outbox.join(kept_copies(outbox).select("delivery_no"), "delivery_no", "left_semi")
 
 
+def p7_new_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The messages that the last batch brings and no earlier one has."""
+    outbox = table(spark, d, "queue_outbox")
+    last = outbox.agg(F.max("batch_no")).first()[0]
+    return new_messages(outbox.filter(F.col("batch_no") == last), outbox.filter(F.col("batch_no") < last)).select("delivery_no")
+
+
 _P7 = r"""
 WITH RECURSIVE n AS (
-  SELECT delivery_no, published_at,
+  SELECT delivery_no, batch_no, published_at,
          nullif(regexp_replace(lower(idempotency_key), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '') AS k,
          coalesce(queue_name, '') || chr(1) || nullif(regexp_replace(pubsub_message_id, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '') AS p
   FROM queue_outbox
@@ -109,6 +125,7 @@ m AS (
 QUERIES = {
     "p2_found": (p2_found, _P2 + "SELECT DISTINCT file_id FROM found"),
     "p2_by_run": (p2_by_run, _P2 + "SELECT run_id, count(*) AS pending_files FROM found GROUP BY run_id"),
+    "p2_published": (p2_published, _PUBLISHED),
     "p5_found": (p5_found, _P5 + "SELECT * FROM found"),
     "p5_counts": (p5_counts, _P5 + "SELECT run_id, change_kind, count(*) AS changes FROM found GROUP BY ALL"),
     "p7_found": (p7_found, _P7 + "SELECT delivery_no FROM ranked WHERE rank > 1"),
@@ -116,4 +133,8 @@ QUERIES = {
         p7_messages,
         _P7 + "SELECT q.* FROM queue_outbox q JOIN (SELECT delivery_no FROM ranked WHERE rank = 1) USING (delivery_no)",
     ),
+    "p7_new_messages": (
+        p7_new_messages,
+        _P7 + "SELECT min(delivery_no) FILTER (rank = 1) AS delivery_no FROM ranked GROUP BY message HAVING min(batch_no) = (SELECT max(batch_no) FROM queue_outbox)",
+    ),
 }

@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: what a statement that begins with WITH may do besides reading
+_WRITES = re.compile(r"(?i)\b(?:insert\s+(?:into|overwrite)|merge\s+into|delete\s+from|update\s+\S+\s+set)\b")
+
+
 def guarded_sql(spark: SparkSession, statement: str, **frames: DataFrame) -> DataFrame:
-    """Runs one reading statement (SELECT or WITH) and nothing else."""
-    bare = re.sub(r"--[^\n]*|/\*.*?\*/", " ", statement, flags=re.S).strip().rstrip(";").strip()
-    outside = re.sub(r"'(?:[^']|'')*'", "''", bare)
+    """Runs one reading statement (SELECT or WITH) and nothing else. Strings,
+    quoted names and comments may hold anything."""
+    quoted = r"'(?:[^'\\]|''|\\.)*'|\"(?:[^\"\\]|\"\"|\\.)*\"|`(?:[^`]|``)*`"
+    bare = re.sub(rf"({quoted})|--[^\n]*|/\*.*?\*/", lambda m: m.group(1) or " ", statement, flags=re.S).strip().rstrip(";").strip()
+    outside = re.sub(quoted, "q", bare, flags=re.S)
     if not re.match(r"(?i)(select|with)\b", outside) or ";" in outside:
         raise ValueError("only a single SELECT or WITH statement is allowed")
-    if re.search(r"(?i)\b(insert|update|delete|merge|drop|alter|create|truncate|grant|revoke)\b", outside):
+    if _WRITES.search(outside):
         raise ValueError("only reading statements are allowed")
     return spark.sql(bare, **frames)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cernido.functions.textnorm import trimmed
+from cernido.tables import bounded_broadcast
 
 
 def named_columns(names: list[str | None]) -> list[str]:
@@ -29,17 +30,34 @@ def named_columns(names: list[str | None]) -> list[str]:
 
 
 def read_csv(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
-    """A CSV file with a header, all columns as text, blank rows left out.
-    UTF-8 (with or without mark), or Latin-1 where it isn't valid UTF-8."""
-    head = spark.read.format("binaryFile").load(path).select(F.is_valid_utf8(F.col("content")).alias("ok")).agg(F.min("ok")).first()[0]
-    raw = spark.read.csv(path, sep=separator, header=False, inferSchema=False, multiLine=True, escape='"', encoding="UTF-8" if head else "ISO-8859-1")
-    first = raw.first()
+    """CSV files with a header, all columns as text, blank rows left out. Each
+    file is UTF-8 (with or without mark), or Latin-1 where it isn't valid UTF-8.
+
+    Files are read as Latin-1, which keeps every byte. Whether all cells of a
+    file are valid UTF-8 is combined within the tasks, one row a file.
+    """
+    options = {"sep": separator, "multiLine": True, "escape": '"', "encoding": "ISO-8859-1"}
+    first = spark.read.csv(path, header=False, inferSchema=False, **options).first()
     if first is None:
-        return raw
-    names = named_columns([(x or "").removeprefix("﻿") for x in first])
+        return spark.read.csv(path, header=False, **options)
+    names = named_columns([_by_bytes(x) for x in first])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.csv(path, schema, sep=separator, header=True, multiLine=True, escape='"', encoding="UTF-8" if head else "ISO-8859-1")
-    return nonblank_rows(df)
+    df = spark.read.csv(path, schema, header=True, **options)
+    raw = {n: F.encode(F.col(f"`{n}`"), "ISO-8859-1") for n in names}
+    cells = df.withColumn("__file", F.col("_metadata.file_path"))
+    valid = [F.coalesce(F.is_valid_utf8(x), F.lit(True)) for x in raw.values()]
+    files = cells.select("__file", F.forall(F.array(*valid), lambda x: x).alias("ok")).groupBy("__file").agg(F.min("ok").alias("__ok"))
+    cells = cells.join(bounded_broadcast(files), "__file")
+    return nonblank_rows(cells.select([F.when(F.col("__ok"), F.decode(raw[n], "UTF-8")).otherwise(F.col(f"`{n}`")).alias(n) for n in names]))
+
+
+def _by_bytes(cell: str | None) -> str:
+    """A header cell that was read as Latin-1."""
+    raw = (cell or "").encode("latin-1", "replace")
+    try:
+        return raw.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
 
 
 def nonblank_rows(df: DataFrame) -> DataFrame:

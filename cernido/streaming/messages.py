@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 #: payload of a routed message
@@ -37,16 +38,29 @@ def dead_letters(messages: DataFrame) -> DataFrame:
 
 def drain(stream: DataFrame, target: str, checkpoint: str, key: str) -> StreamingQuery:
     """Takes all that is there, once: each micro-batch replaces the folder of its
-    number, so a batch that is repeated after a failure is written once."""
+    number, so a batch that is repeated after a failure is written once. Of the
+    copies of a message one is kept, whatever batches they come in: a batch is
+    anti-joined against the keys stored by the others. Messages without a key
+    can't be told apart and are all kept.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates([key]).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        spark = batch.sparkSession
+        keyed = batch.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            stored = spark.read.schema(T.StructType([batch.schema[key], T.StructField("batch", T.LongType())])).parquet(target)
+            keyed = keyed.join(stored.filter(F.col("batch") != number).select(key), key, "left_anti")
+        out = keyed.select(*batch.columns).unionByName(batch.filter(F.col(key).isNull()))
+        out.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def first_copies(stream: DataFrame, key: str, time: str, within: str = "7 days") -> DataFrame:
-    """The first copy of each message of a stream, forgetting keys after ``within``."""
+    """The first copy of each message of a stream, with bounded state: a key is
+    forgotten ``within`` after its first copy, so a copy that comes later than
+    that is passed on again. ``drain`` is the exact way."""
     return stream.withWatermark(time, within).dropDuplicatesWithinWatermark([key])
 
 

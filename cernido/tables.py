@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -28,14 +28,19 @@ def latest(df: DataFrame, keys: list[str], order: str = "updated_at") -> DataFra
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the session in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder is made and set.
+    Only where the session names none and runs on this machine alone (tests), a
+    temporary folder is made and set. On a cluster a session without one fails:
+    a folder of one machine would not be seen by the others.
     """
     context = spark.sparkContext
     have = context.getCheckpointDir()
     if have:
         return have
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cernido-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="cernido-")
     context.setCheckpointDir(folder)
     return folder
 
@@ -48,8 +53,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table in the shared folder. It is deleted when
+    the session's JVM ends, unless ``drop_scratch`` did it before."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes all written tables of this process; frames that read them, results
+    of queries included, can't be used afterwards. Returns their number."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return n
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -64,10 +87,6 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""), F.lit(""))
 
 
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
-
-
 def hashed(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` hashed on the keys into a fixed number of partitions, at least two
     a core. Joins and windows on these keys need no other shuffle, and the

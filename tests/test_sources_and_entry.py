@@ -28,6 +28,11 @@ def test_csv_headers_blank_rows_and_encodings(spark, tmp_path):
     assert df.columns == ["email", "column_2", "rut"] and df.count() == 2
     (tmp_path / "b.csv").write_bytes("nombre\nMuñoz\n".encode("latin-1"))
     assert files.read_csv(spark, str(tmp_path / "b.csv")).first()[0] == "Muñoz"
+    (tmp_path / "set").mkdir()
+    (tmp_path / "set" / "a.csv").write_bytes("n,t\nMuñoz,\"a\nñ\"\n".encode())
+    (tmp_path / "set" / "b.csv").write_bytes("n,t\nPeña,\n,\n".encode("latin-1"))
+    (tmp_path / "set" / "c.csv").write_bytes("\ufeffn,t\nÑuble,x\n".encode())
+    assert {tuple(r) for r in files.read_csv(spark, str(tmp_path / "set")).collect()} == {("Muñoz", "a\nñ"), ("Peña", None), ("Ñuble", "x")}
 
 
 def test_word_and_sheet_files(spark, tmp_path):
@@ -54,6 +59,14 @@ def test_texts_html_and_listing(spark, tmp_path):
     assert files.html_text("<p> a &amp; b </p><b>c</b>") == "a & b c" and files.html_text(None) is None
 
 
+def test_guard_looks_past_quotes(spark):
+    got = databases.guarded_sql(spark, "SELECT 1 AS `update`, 'drop table x; --' AS s -- delete from t\n").first()
+    assert got["update"] == 1 and got["s"] == "drop table x; --"
+    for bad in ("WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x", "SELECT 1; SELECT 2", "DROP TABLE t"):
+        with pytest.raises(ValueError):
+            databases.guarded_sql(spark, bad)
+
+
 def test_guard_and_paged_service(spark):
     assert databases.guarded_sql(spark, "SELECT 1 AS x;").first().x == 1
     for bad in ("DROP TABLE x", "SELECT 1; SELECT 2", "WITH a AS (SELECT 1) DELETE FROM a"):

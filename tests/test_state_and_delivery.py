@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cernido.operators.delivery import kept_copies, new_messages, repeated_deliveries
-from cernido.operators.incremental import TargetState, pending, replay_new_or_changed, run_incremental
+from cernido.operators.incremental import TargetState, pending, publish_in_waves, replay_new_or_changed, run_incremental
 from cernido.operators.snapshots import chain_diff, snapshot_diff
+from cernido.streaming.messages import drain, read_stream
 
 RUNS = "run_id string, user_id string, source_type string, source_scope_key string, snapshot_completed_at timestamp"
 FILES = "file_id string, run_id string, source_uri string, checksum_sha256 string, revision_key string, updated_at timestamp, content string"
@@ -79,7 +80,31 @@ def test_incremental_run_survives_a_failure(spark, tmp_path):
     assert {(r.k, r.ver) for r in target.read().collect()} == {("a", "2"), ("b", "1"), ("c", "1")}
     assert run_incremental(two, target, ["k"], "ver").count() == 0 and target.current() == 2
     with pytest.raises(RuntimeError):
-        target.publish(two, 1)
+        target.publish(two.filter("k = 'c'"), ["k"], 1)
+    # the refused writer has changed nothing
+    assert {(r.k, r.ver) for r in target.read().collect()} == {("a", "2"), ("b", "1"), ("c", "1")}
+
+
+def test_only_changed_buckets_are_written_and_an_empty_target_reads(spark, tmp_path):
+    target = TargetState(spark, str(tmp_path / "t"), buckets=16)
+    many = spark.range(100).selectExpr("cast(id as string) as k", "'1' as ver")
+    run_incremental(many, target, ["k"], "ver")
+    first = target.manifest(1)["folders"]
+    run_incremental(many.withColumn("ver", F.expr("if(k = '7', '2', ver)")), target, ["k"], "ver")
+    second = target.manifest(2)["folders"]
+    assert sum(first[b] != second[b] for b in first) == 1 and target.read().count() == 100
+    assert target.read(1).filter("ver = '2'").count() == 0 and target.read().filter("ver = '2'").count() == 1
+    empty = TargetState(spark, str(tmp_path / "e"))
+    assert run_incremental(many.limit(0), empty, ["k"], "ver").count() == 0 and empty.read().count() == 0
+
+
+def test_waves_publish_what_the_latest_runs_list(chain, spark, tmp_path):
+    files, runs = chain
+    got = publish_in_waves(files, runs, TargetState(spark, str(tmp_path / "w")))
+    assert {(r.user_id, r.source_uri, r.content) for r in got.collect()} == {
+        ("u", "A", "aa"), ("u", "B", "bx"), ("u", "C", "cc"), ("u", "D", "dd"), ("v", "A", "aa"),
+    }
+    assert publish_in_waves(files.limit(0), runs, TargetState(spark, str(tmp_path / "x"))).count() == 0
 
 
 def test_copies_are_linked_directly_and_through_others(spark):
@@ -100,3 +125,17 @@ def test_long_chains_of_copies_converge(spark):
     assert kept_copies(spark.createDataFrame(rows, BOX)).collect()[0].delivery_no == 0
     hot = [(i, "q", None, "same", None) for i in range(500)]
     assert repeated_deliveries(spark.createDataFrame(hot, BOX)).count() == 499
+
+
+def test_hot_and_missing_identifiers(spark):
+    rows = [(i, "q", day(1 + i % 3), "hot", f"{i}") for i in range(60)] + [(100 + i, "q", None, None, None) for i in range(60)]
+    rows += [(200, "q", day(1), None, "59"), (201, None, day(1), "\tHOT ", None), (202, None, day(1), None, "59")]
+    assert {r.delivery_no for r in kept_copies(spark.createDataFrame(rows, BOX)).collect()} == {0, 202, *range(100, 160)}
+
+
+def test_drain_keeps_one_copy_across_batches(spark, tmp_path):
+    source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    for part in ([("a", 1), ("b", 1), (None, 1)], [("a", 2), ("c", 2), ("c", 2), (None, 2)]):
+        spark.createDataFrame(part, "id string, n int").coalesce(1).write.mode("append").parquet(source)
+        drain(read_stream(spark, source, spark.read.parquet(source).schema), out, state, "id").awaitTermination()
+    assert sorted(str(r.id) for r in spark.read.parquet(out).collect()) == ["None", "None", "a", "b", "c"]
