@@ -71,7 +71,7 @@ def candidates(spans: DataFrame) -> DataFrame:
         .withColumn("span_text", text)
         .withColumn("score", F.coalesce("score", F.lit(0.0)))
         .withColumn("source", F.coalesce("source", F.lit("unknown")))
-        .withColumn("is_base", F.col("entity_type").isin(tn.BASE_TYPES))
+        .withColumn("is_base", F.col("entity_type").isin(*tn.BASE_TYPES))
     )
     other = F.coalesce(F.nullif("normalized_value", F.lit("")), F.lit(None))
     kept_key = F.col("entity_type").isin("CARD_EXPIRY", "CARD_CVV", "BANK_ACCOUNT", "ACCOUNT_ID")
@@ -176,12 +176,12 @@ def gated(rows: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     that need one are dropped. Other types are dropped."""
     local = v.normalized_local(F.col("entity_type"), F.col("span_text"))
     strict = ~F.col("entity_type").isin("IP_ADDRESS", "MAC_ADDRESS", "URL") | (F.col("score") > MODEL_SCORE)
-    checked = rows.filter(F.col("entity_type").isin(tn.LOCAL_TYPES)).withColumn("__v", local).filter(F.col("__v").isNotNull() & strict)
+    checked = rows.filter(F.col("entity_type").isin(*tn.LOCAL_TYPES)).withColumn("__v", local).filter(F.col("__v").isNotNull() & strict)
     checked = checked.withColumn("normalized_value", F.col("__v")).withColumn("value_key", tn.value_key(F.col("__v"))).drop("__v")
-    scored = rows.filter(F.col("entity_type").isin(tn.SCORE_TYPES) & (F.col("score") > MODEL_SCORE))
+    scored = rows.filter(F.col("entity_type").isin(*tn.SCORE_TYPES) & (F.col("score") > MODEL_SCORE))
     out = _decided(checked, "PROBABLE", "score", "local_validation").unionByName(_decided(scored, "PROBABLE", "score", "model_score_threshold"))
     if scorer is not None:
-        asked = island_choice(rows.filter(F.col("entity_type").isin(tn.MODEL_TYPES) & (F.col("score") >= MODEL_GATE))).drop("island")
+        asked = island_choice(rows.filter(F.col("entity_type").isin(*tn.MODEL_TYPES) & (F.col("score") >= MODEL_GATE))).drop("island")
         answered = scorer(asked).filter(F.col("model_score") >= PROBABLE_AT)
         level = F.when(F.col("model_score") >= CONFIDENT_AT, "CONFIDENT").otherwise("PROBABLE")
         out = out.unionByName(

@@ -145,7 +145,7 @@ SELECT p_partkey, CASE WHEN k % 200 <= 130 THEN CAST(k % 200 AS VARCHAR) END AS
 def canonical_types(spark, d):
     """Canonical type and decision route of each recorded type."""
     kind = tn.canonical_type(F.col("entity_type"), F.col("raw_entity_type"))
-    way = F.when(kind.isin(tn.BASE_TYPES), "base").when(kind.isin(tn.LOCAL_TYPES), "local").when(kind.isin(tn.SCORE_TYPES), "score").when(kind.isin(tn.MODEL_TYPES), "model").otherwise("none")
+    way = F.when(kind.isin(*tn.BASE_TYPES), "base").when(kind.isin(*tn.LOCAL_TYPES), "local").when(kind.isin(*tn.SCORE_TYPES), "score").when(kind.isin(*tn.MODEL_TYPES), "model").otherwise("none")
     return _entities(spark, d).select(kind.alias("canonical"), way.alias("route")).groupBy("canonical", "route").agg(F.count("*").alias("n"))
 
 
