@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from cernido.llm.lookalike import CYRILLIC_LIKE, GREEK_LIKE, OTHER_LIKE
 from cernido.tables import hashed, latest, written
 
-MENTIONS = "array<struct<entity_type:string,start_pos:int,end_pos:int,value:string>>"
+MENTIONS = "array<struct<entity_type:string,start_pos:int,end_pos:int,value:string,gender:string>>"
 
 _LIKE = CYRILLIC_LIKE | GREEK_LIKE | OTHER_LIKE
 _INVISIBLE = re.compile("(?<=\\w)[\u200b-\u200d\u2060\ufeff\u00ad]+(?=[\\w@.])")
@@ -120,7 +120,14 @@ class Names:
         return found
 
     def _inverted(self, bare: str, start: int, stop: int, floor: int) -> tuple[int, int] | None:
-        m = _BEFORE.search(bare, max(floor, start - 80), start)
+        comma = bare.rfind(",", floor, start)
+        if comma < 0 or not bare[comma + 1 : start].isspace():
+            return None
+        a = comma
+        for kind in (str.isspace, str.isalpha, str.isspace, str.isalpha):  # back over up to two words
+            while a > floor and kind(bare[a - 1]):
+                a -= 1
+        m = _BEFORE.search(bare, a, start)
         if not m or m.group(2) not in self.surnames or bare[stop : stop + 1] in ("@", "_"):
             return None
         first = m.group(1) in self.surnames if m.group(1) else False
@@ -187,10 +194,17 @@ def find_mentions(text: str, names: Names) -> list[tuple[str, int, int]]:
     found: list[tuple[str, int, int]] = []
     end = 0
     for at in _AT_SIGN.finditer(bare):
-        for m in EMAIL.finditer(bare, max(end, at.start() - 80), min(len(bare), at.end() + 120)):
-            if m.start() < at.start() < m.end():
-                found.append(("EMAIL", *m.span()))
-                end = m.end()
+        a = at.start()
+        if a > end and bare[a - 1].isspace():
+            a -= 1
+        while a > end and (bare[a - 1] in ".+%-" or bare[a - 1].isalnum() or bare[a - 1] == "_"):
+            a -= 1
+        while a < at.start() and not ("a" <= bare[a] <= "z" or "0" <= bare[a] <= "9"):
+            a += 1
+        m = EMAIL.match(bare, a) if end <= a < at.start() else None
+        if m and m.end() > at.start():
+            found.append(("EMAIL", *m.span()))
+            end = m.end()
     for head in _STREET_HEAD.finditer(bare):
         a = head.start()
         if a and (bare[a - 1].isalnum() or bare[a - 1] in "._"):
@@ -238,8 +252,8 @@ def canonical_value(kind: str, mention: str) -> str:
 
 # ---- learning the names -------------------------------------------------------------
 
-#: a name word makes up at least this share of all name words, which bounds their number
-NAME_SHARE = 1e-5
+#: a name word makes up at least this share of all name words, which bounds their number by half a million
+NAME_SHARE = 2e-6
 _NAME_SHAPE = re.compile(r"[^\W\d_]+(?: [^\W\d_]+| [^\W\d_]\.)?(?: [^\W\d_]+){1,2}|[^\W\d_]+(?: [^\W\d_]+)?, [^\W\d_]+")
 
 
@@ -307,7 +321,10 @@ def mentions(chunks: DataFrame, names: Names) -> DataFrame:
             out = []
             for text in batch["text"]:
                 found = find_mentions(text, known) if text else []
-                out.append([{"entity_type": k, "start_pos": a, "end_pos": b, "value": canonical_value(k, text[a:b])} for k, a, b in found])
+                out.append([
+                    {"entity_type": k, "start_pos": a, "end_pos": b, "value": canonical_value(k, text[a:b]), "gender": title_gender(text, a) if k == "NAME" else None}
+                    for k, a, b in found
+                ])
             yield pd.DataFrame({"chunk_id": batch["chunk_id"], "mentions": out})
 
     return rows.select("chunk_id", "text").mapInPandas(run, f"chunk_id string, mentions {MENTIONS}")
@@ -321,11 +338,19 @@ def found_mentions(chunks: DataFrame, entities: DataFrame) -> DataFrame:
 
 # ---- surrogates ---------------------------------------------------------------------
 
-# Syllables that surrogate names and streets are made of.
+# Titles before a name, and the syllables that surrogate names and streets are made of.
+_TITLE = re.compile(r"(?:(don|sr|senor|mr)|(dona|sra|srta|senora|senorita|mrs|ms))\.?\s+$")
 _HEADS = ["Bra", "Cle", "Dori", "Fau", "Gre", "Hila", "Jude", "Kari", "Leo", "Mila", "Nora", "Ola", "Pala", "Rosi", "Sila", "Tere"]
 _MIDDLES = ["be", "da", "fi", "go", "la", "me", "ni", "ra", "so", "ta", "vi", "xe", "lu", "ro", "mi", "po"]
 _CYRILLIC_HEADS = ["Бра", "Вале", "Гори", "Дани", "Зори", "Ками", "Лари", "Мила"]
 _CYRILLIC_MIDDLES = ["бе", "да", "фи", "го", "ла", "ме", "ни", "ра"]
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def title_gender(text: str, start: int) -> str | None:
+    """``m`` or ``f`` where the title before a name tells it."""
+    m = _TITLE.search(fold(text[max(0, start - 16) : start]))
+    return None if m is None else "m" if m.group(1) else "f"
 
 
 class _Draw:
@@ -346,21 +371,26 @@ def _word(draw: _Draw, cyrillic: bool, ending: str) -> str:
     return "".join(parts) + ending
 
 
-def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
-    """The plain surrogate of a canonical value, before its mention's format."""
+def _initial(letter: str, key: bytes) -> str:
+    """Another letter for an initial, each letter its own."""
+    order = sorted(_LETTERS, key=lambda c: hashlib.blake2b(c.encode(), key=key[:64]).digest())
+    return order[(order.index(letter) + 1) % len(order)].upper() if letter in order else letter.upper()
+
+
+def surrogate(kind: str, value: str, key: bytes, attempt: int = 0, gender: str | None = None) -> str:
+    """The plain surrogate of a canonical value, before its mention's format. Names
+    have one for each word, so a person's full and shortened name keep the
+    words they share. The gender of a given name that no title tells is guessed
+    by its ending."""
     draw = _Draw(key, kind, value, attempt)
-    if kind == "NAME":
-        words = value.split()
-        out = []
-        for i, w in enumerate(words):
-            cyrillic = "а" <= w[0] <= "я"
-            if len(w.rstrip(".")) == 1:
-                out.append(w.upper())
-            elif i == 0 or i == 1 and len(words) > 3:
-                out.append(_word(draw, cyrillic, ("на" if cyrillic else "na") if w[-1] in "aая" else ("н" if cyrillic else "n")))
-            else:
-                out.append(_word(draw, cyrillic, "в" if cyrillic else "z"))
-        return " ".join(out)
+    if kind in ("GIVEN", "SURNAME"):
+        cyrillic = "а" <= value[0] <= "я"
+        if kind == "SURNAME":
+            return _word(draw, cyrillic, "в" if cyrillic else "z")
+        female = gender == "f" if gender else value[-1] in "aая"
+        return _word(draw, cyrillic, ("на" if cyrillic else "na") if female else ("н" if cyrillic else "n"))
+    if kind == "INITIAL":
+        return _initial(value[0], key) + value[1:]
     if kind == "RUT":
         body = str(50_000_000 + draw.below(49_999_999)) if len(value) > 8 else str(5_000_000 + draw.below(4_999_999))
         total = sum(int(d) * (2 + i % 6) for i, d in enumerate(reversed(body)))
@@ -393,41 +423,71 @@ def dressed(kind: str, mention: str, plain: str) -> str:
 
 
 def assign_surrogates(values: DataFrame, key: bytes, max_rounds: int = 20) -> DataFrame:
-    """(entity_type, value, surrogate) of distinct values, no two of a type alike.
+    """(entity_type, value, surrogate) of distinct values, no two of a type alike,
+    and none alike to a value that is really there.
 
-    Values that draw the same surrogate are ranked; the first keeps it, the
-    others draw again with a counter. Each round shuffles only who collided.
+    ``values`` may have a ``gender``. Values that draw the same surrogate are
+    ranked; the first keeps it, the others draw again with a counter, as those
+    do that hit a real value. Each round shuffles only who has none yet.
     """
 
     @F.pandas_udf("string")
-    def drawn(kind: pd.Series, value: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(k, v, key, int(a)) for k, v, a in zip(kind, value, attempt, strict=True)])
+    def drawn(kind: pd.Series, value: pd.Series, attempt: pd.Series, gender: pd.Series) -> pd.Series:
+        return pd.Series([surrogate(k, v, key, int(a), g or None) for k, v, a, g in zip(kind, value, attempt, gender, strict=True)])
 
-    todo = values.select("entity_type", "value").distinct().withColumn("attempt", F.lit(0))
+    gender = F.max("gender") if "gender" in values.columns else F.lit(None).cast("string")
+    real = written(values.groupBy("entity_type", "value").agg(gender.alias("gender")), "values")
+    todo = real.withColumn("attempt", F.lit(0))
     done = None
     for _ in range(max_rounds):
-        cast = written(todo.withColumn("surrogate", drawn("entity_type", "value", "attempt")), "cast")
-        same = Window.partitionBy("entity_type", F.lower("surrogate")).orderBy("value")
-        ranked = cast.withColumn("rank", F.row_number().over(same))
-        first = ranked.filter("rank = 1").drop("rank")
+        cast = written(todo.withColumn("surrogate", drawn("entity_type", "value", "attempt", F.coalesce("gender", F.lit("")))), "cast")
+        low = cast.withColumn("low", F.lower("surrogate"))
+        same = Window.partitionBy("entity_type", "low").orderBy("value")
+        first = low.withColumn("rank", F.row_number().over(same)).filter("rank = 1 or entity_type = 'INITIAL'")
+        taken = real.filter("entity_type <> 'INITIAL'").select("entity_type", F.col("value").alias("low"))
         if done is not None:
-            taken = done.select("entity_type", F.lower("surrogate").alias("low")).distinct()
-            first = first.withColumn("low", F.lower("surrogate")).join(taken, ["entity_type", "low"], "left_anti").drop("low")
-        first = written(first.select("entity_type", "value", "surrogate"), "first")
+            taken = taken.unionByName(done.select("entity_type", F.lower("surrogate").alias("low")))
+        first = written(first.join(taken, ["entity_type", "low"], "left_anti").select("entity_type", "value", "surrogate"), "first")
         done = first if done is None else done.unionByName(first)
         todo = cast.join(first.select("entity_type", "value"), ["entity_type", "value"], "left_anti")
-        todo = todo.select("entity_type", "value", (F.col("attempt") + 1).alias("attempt"))
+        todo = written(todo.select("entity_type", "value", "gender", (F.col("attempt") + 1).alias("attempt")), "again")
         if todo.isEmpty():
             return done
     raise RuntimeError("surrogates keep colliding; use a larger alphabet")
 
 
-def replaced(chunks: DataFrame, entities: DataFrame, key: bytes = b"cernido") -> DataFrame:
+def surrogates_of(each: DataFrame, key: bytes) -> DataFrame:
+    """(entity_type, value, surrogate) of the values of mentions. A name's is made of
+    its words', whose gender is that of most titles before the given name."""
+    names = each.filter("entity_type = 'NAME'").groupBy("value").agg(
+        F.count_if(F.col("gender") == "f").alias("f"), F.count_if(F.col("gender") == "m").alias("m")
+    )
+    # given names come first, of four words or more they are two
+    kind = F.when(F.length(F.rtrim("word", F.lit("."))) == 1, "INITIAL").when((F.col("n") == 0) | (F.col("n") == 1) & (F.col("size") > 3), "GIVEN").otherwise("SURNAME")
+    words = F.split("value", " ")
+    parts = names.select("value", "f", "m", F.size(words).alias("size"), F.posexplode(words).alias("n", "word")).withColumn("kind", kind)
+    parts = written(parts.drop("size"), "name_words")
+    told = parts.groupBy("kind", "word").agg(F.sum("f").alias("f"), F.sum("m").alias("m"))
+    told = told.select(
+        F.col("kind").alias("entity_type"), F.col("word").alias("value"), F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > F.col("f"), "m").alias("gender")
+    )
+    other = each.filter("entity_type <> 'NAME'").select("entity_type", "value", F.lit(None).cast("string").alias("gender"))
+    plain = assign_surrogates(told.unionByName(other), key)
+    of_word = plain.select(F.col("entity_type").alias("kind"), F.col("value").alias("word"), "surrogate")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "surrogate"))), lambda x: x["surrogate"]), " ")
+    full = parts.join(of_word, ["kind", "word"]).groupBy("value").agg(whole.alias("surrogate"))
+    return plain.filter(~F.col("entity_type").isin("GIVEN", "SURNAME", "INITIAL")).unionByName(full.select(F.lit("NAME").alias("entity_type"), "value", "surrogate"))
+
+
+def replaced(chunks: DataFrame, entities: DataFrame, key: bytes) -> DataFrame:
     """(chunk_id, clean_text): the latest texts with ``[TYPE surrogate]`` for each
-    mention. A null text stays null, a text without mentions stays as it is."""
+    mention. A null text stays null, a text without mentions stays as it is.
+    ``key`` is a secret: with it, and only with it, the same surrogates come again."""
+    if not key:
+        raise ValueError("surrogates need a secret key")
     found = written(mentions(chunks, learn_names(entities)), "mentions")
     each = found.select("chunk_id", F.inline("mentions"))
-    named = each.join(assign_surrogates(each, key), ["entity_type", "value"])
+    named = each.join(surrogates_of(each, key), ["entity_type", "value"])
     cover = named.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("start_pos", "end_pos", "entity_type", "surrogate"))).alias("cover"))
 
     @F.pandas_udf("string")
@@ -438,6 +498,25 @@ def replaced(chunks: DataFrame, entities: DataFrame, key: bytes = b"cernido") ->
     return rows.join(cover, "chunk_id", "left").select("chunk_id", put("text", "cover").alias("clean_text"))
 
 
+def surrogate_faults(chunks: DataFrame, entities: DataFrame, key: bytes) -> DataFrame:
+    """(entity_type, values_seen, distinct_surrogates, real_values_hit, bad_format): how far
+    the surrogates of a corpus keep distinctness, avoid real values and have
+    the form of their type. All but the first two counts should be zero, and
+    these two equal."""
+    each = written(mentions(chunks, learn_names(entities)), "mentions").select(F.inline("mentions"))
+    given = written(surrogates_of(each, key), "surrogates")
+    low = given.withColumn("low", F.lower("surrogate"))
+    hit = low.join(given.select("entity_type", F.col("value").alias("low")), ["entity_type", "low"], "left_semi").groupBy("entity_type").agg(F.count("*").alias("hit"))
+    form = (
+        F.when(F.col("entity_type") == "RUT", r"^\d{7,8}[\dK]$").when(F.col("entity_type") == "PHONE", r"^[2-9]\d{8}$")
+        .when(F.col("entity_type") == "EMAIL", r"^[a-z0-9]+@[a-z]+\.invalid$").otherwise(r"^\S+( \S+)+$")
+    )
+    sums = low.groupBy("entity_type").agg(
+        F.count_distinct("value").alias("values_seen"), F.count_distinct("low").alias("distinct_surrogates"), F.count_if(~F.regexp_like("surrogate", form)).alias("bad_format")
+    )
+    return sums.join(hit, "entity_type", "left").select("entity_type", "values_seen", "distinct_surrogates", F.coalesce("hit", F.lit(0)).alias("real_values_hit"), "bad_format")
+
+
 def _put(text: str | None, cover) -> str | None:
     if text is None or cover is None:
         return text

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cernido.llm.leakage import leaked, leaks_by_item
 from cernido.llm.lookalike import canonical_entities, same_look_pairs
-from cernido.llm.personal import found_mentions, replaced
+from cernido.llm.personal import found_mentions, replaced, surrogate_faults
 from cernido.llm.scanned import found_noise, repaired
 from cernido.llm.split import oversized, resplit
 from cernido.llm.tokenize import encode_corpus
@@ -32,7 +35,17 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_replaced(spark: SparkSession, d: str) -> DataFrame:
     """The same texts with a typed surrogate for each mention."""
-    return replaced(table(spark, d, "text_chunks_staging"), table(spark, d, "entity_extraction_entities"))
+    return replaced(table(spark, d, "text_chunks_staging"), table(spark, d, "entity_extraction_entities"), surrogate_key())
+
+
+def p3_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    """Distinctness, avoidance of real values and format of all surrogates by type."""
+    return surrogate_faults(table(spark, d, "text_chunks_staging"), table(spark, d, "entity_extraction_entities"), surrogate_key())
+
+
+def surrogate_key() -> bytes:
+    """The secret of the surrogates from CERNIDO_SURROGATE_KEY; without one a key of this run alone."""
+    return os.environ.get("CERNIDO_SURROGATE_KEY", "").encode() or secrets.token_bytes(32)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -114,6 +127,7 @@ QUERIES = {
     "p1_repaired": (p1_repaired, None),
     "p3_found": (p3_found, None),
     "p3_replaced": (p3_replaced, None),
+    "p3_surrogates": (p3_surrogates, None),
     "p4_found": (p4_found, None),
     "p4_canonical": (p4_canonical, None),
     "p6_found": (p6_found, _P6),

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import os
 import random
+import re
 import unicodedata
 
 import pytest
@@ -243,15 +244,38 @@ def test_personal_information(spark):
     assert clean["a"].startswith("[NAME ") and "[RUT " in clean["a"]
 
 
-def test_surrogates_are_distinct_and_repeatable(spark, monkeypatch):
-    values = spark.createDataFrame([("NAME", f"ana toro{i}") for i in range(50)] + [("NAME", "ana toro1")], "entity_type string, value string")
-    one = {r.value: r.surrogate for r in personal.assign_surrogates(values, b"k").collect()}
-    assert len(one) == 50 == len({s.lower() for s in one.values()})
-    assert one == {r.value: r.surrogate for r in personal.assign_surrogates(values, b"k").collect()}
-    assert personal.surrogate("NAME", "luis mora", b"k").split()[0].endswith("n") and personal.surrogate("NAME", "ana mora", b"k").split()[0].endswith("na")
+def test_surrogates_are_distinct_and_repeatable(spark):
+    people = [("doña", "Carmen Toro Lago"), ("don", "Luca Mora"), ("", "Luca Mora Vera"), ("", "Toro, Carmen"), ("", "Ana T. Mora")]
+    e = spark.createDataFrame([("NAME", "Carmen Toro"), ("NAME", "Luca Mora"), ("NAME", "Ana Vera"), ("NAME", "Ana Lago")] * 3, "entity_type string, text string")
+    rows = [(str(i), f"Vino {title} {name} hoy, RUT 12.378.895-8, {'x' * 130}.y@correo.cl", TIME) for i, (title, name) in enumerate(people)]
+    c = spark.createDataFrame(rows, "chunk_id string, text string, updated_at timestamp")
+    clean = {r.chunk_id: r.clean_text for r in personal.replaced(c, e, b"k").collect()}
+    assert clean == {r.chunk_id: r.clean_text for r in personal.replaced(c, e, b"k").collect()}
+    names = {i: re.search(r"\[NAME ([^\]]*)\]", t).group(1).split() for i, t in clean.items()}
+    # gender by title, the words a full and a shortened name share, inverted order, initials
+    assert names["0"][0].endswith("na") and not names["1"][0].endswith("na")
+    assert names["2"][:2] == names["1"] and names["3"] == [names["0"][1] + ",", names["0"][0]] and names["4"][1] != "T." and names["4"][2] == names["1"][1]
+    assert all("xxxx" not in t for t in clean.values()) and len({re.search(r"\[RUT ([^\]]*)", t).group(1) for t in clean.values()}) == 1
+    assert clean != {r.chunk_id: r.clean_text for r in personal.replaced(c, e, b"other").collect()}
+    for r in personal.surrogate_faults(c, e, b"k").collect():
+        assert r.values_seen == r.distinct_surrogates and r.real_values_hit == r.bad_format == 0
+    with pytest.raises(ValueError):
+        personal.replaced(c, e, b"")
+    # none is like another, nor like a value that is really there
+    hit = personal.surrogate("PHONE", "912345678", b"k")
+    values = spark.createDataFrame([("PHONE", "912345678"), ("PHONE", hit)] + [("GIVEN", f"ana{i}") for i in range(50)], "entity_type string, value string")
+    got = {r.value: r.surrogate for r in personal.assign_surrogates(values, b"k").collect()}
+    assert len({s.lower() for s in got.values()}) == 52 and hit not in got.values()
     assert personal.dressed("RUT", "12.378.895-8", "501234567") == "50.123.456-7"
 
 
+def test_long_and_odd_mentions():
+    names = personal.Names({"ana"}, {"toro", "lago"})
+    long = "l" * 150
+    found = personal.find_mentions(f"{long}@correo.cl, Toro{' ' * 90}Lago,{' ' * 90}Ana", names)
+    assert [k for k, _, _ in found] == ["EMAIL", "NAME"] and found[0][1:] == (0, 160)
+
+
 def test_truncated_texts(spark):
     line = "El taller revisó las carpetas en la bodega de la oficina central."
     docs = [(i, line if i % 2 else f"{line} Saludos,\nLa oficina central", "A") for i in range(40)]
