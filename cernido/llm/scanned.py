@@ -44,7 +44,7 @@ LEAST_LENGTH = 4
 
 _HYPHEN = "-‐‑–¬­"
 _LETTER = r"[^\W\d_]"
-_DIVIDED_LINE = re.compile(rf"[{_HYPHEN}][ \t]*\n\s*(?={_LETTER})")
+_DIVIDED_ANY = re.compile(rf"[{_HYPHEN}](?:[ \t]*\n\s*|[ \t]+)(?={_LETTER})")
 _DIVIDED_FLAT = re.compile(rf"[{_HYPHEN}]\s+(?={_LETTER})|­(?={_LETTER})")
 _ENDING = re.compile(rf"{_LETTER}+\Z")
 _BEGINNING = re.compile(rf"{_LETTER}+")
@@ -93,20 +93,69 @@ class _Fold(dict):
 _FOLD = _Fold()
 
 
+def _word_start(text: str, end: int) -> int:
+    """Where the run of letters that ends there begins."""
+    while end and text[end - 1].isalpha():
+        end -= 1
+    return end
+
+
+def _run_start(text: str, end: int) -> int:
+    """Where the word before the blanks that end there begins."""
+    while end and text[end - 1] in " \t":
+        end -= 1
+    while end and not text[end - 1].isspace():
+        end -= 1
+    return end
+
+
 def is_flat(text: str) -> bool:
     return "\n" not in text
 
 
 def page_numbers(text: str) -> list[tuple[int, int]]:
-    """Spans of page numbers that stand apart from the sentences."""
+    """Spans of page numbers that stand apart from the sentences, with their line
+    end. A line that holds a number only is one where the lines around it aren't
+    those of a column, a telephone or a street number: see ``_stands_apart``."""
     found = []
-    for m in (_PAGE_FLAT if is_flat(text) else _PAGE_LINE).finditer(text):
+    flat = is_flat(text)
+    for m in (_PAGE_FLAT if flat else _PAGE_LINE).finditer(text):
         if _REFERS.search(text[max(0, m.start() - 12) : m.start()]) and _GOES_ON.match(text, m.end()):
             continue
         found.append(m.span())
+    if not flat:
+        found += [m.span() for m in _BARE_LINE.finditer(text) if _stands_apart(text, *m.span())]
+        found = [(a, b + 1 if b < len(text) else b) for a, b in sorted(found)]
     return found
 
 
+_BARE_LINE = re.compile(r"^[ \t]*\d{1,3}[ \t]*$", re.M)
+_SENTENCE_END = re.compile(r"(?:[^\W\d_]{3,}|\d|[)\"»”])[.?!…]+[)\"»”]?\Z")
+#: fixed values: words that a number belongs to
+_NUMBER_FOLLOWS = re.compile(r"\b(?:tel[ée]?f?|fono|dep(?:ar)?to|dpto|block|blk|casa|of|oficina|piso|sala|km|n[°ºo]|nro|num|bodega|m[óo]dulo|folio|casilla|lote|al|a)\.?\Z", re.I)
+
+
+def _stands_apart(text: str, a: int, b: int) -> bool:
+    """Whether a number alone on its line belongs to none of its neighbours: it
+    begins or ends the text, or follows a sentence, a heading or a divided word,
+    or interrupts a sentence between two words. Numbers above or below it, and
+    lines before it that end in a number or in a word that takes one, speak
+    against."""
+    c = text.rfind("\n", 0, max(0, a - 1)) + 1
+    before = text[c : max(0, a - 1)].rstrip() if a else None
+    d = text.find("\n", b + 1)
+    after = text[b + 1 : len(text) if d < 0 else d].lstrip() if b < len(text) else None
+    if after and after[0].isdigit() or before and _NUMBER_FOLLOWS.search(before):
+        return False
+    if not before:
+        return before is None or not after or not after[0].islower()
+    if _SENTENCE_END.search(before):
+        return not before.rstrip(".").isdigit()
+    if before[-1] in _HYPHEN:
+        return bool(after) and after[0].isalpha()
+    return bool(after) and before[-1].isalpha() and (after[0].isalpha() or after[0] in "¿¡")
+
+
 def without(text: str, spans: list[tuple[int, int]], put: str = "") -> str:
     if not spans:
         return text
@@ -132,11 +181,11 @@ def anchors(text: str) -> dict[str, str | None]:
         found[anchor.translate(_FOLD)] = line
 
     for m in _SIGN.finditer(text):
-        a, b = _WORD_BEFORE.search(text, max(0, m.start() - 40), m.start()), _WORD_AFTER.match(text, m.end())
+        a, b = _WORD_BEFORE.search(text, _run_start(text, m.start()), m.start()), _WORD_AFTER.match(text, m.end())
         if a and b and not (a.group(1).isdigit() and b.group(1).isdigit()):
             put(f"{a.group(1)} {m.group()} {b.group(1)}", m.start())
     for m in _NUMBER.finditer(text):
-        a = _LABEL_BEFORE.search(text, max(0, m.start() - 40), m.start())
+        a = _LABEL_BEFORE.search(text, _run_start(text, _run_start(text, m.start())), m.start())
         if a and not a.group(1).isdigit():
             put(f"{a.group(1)} {m.group()}", m.start())
     return found
@@ -207,9 +256,11 @@ class Model:
             best = step
         return max(best.values(), key=lambda x: x[0])[1]
 
-    def joined(self, left: str, sign: str, right: str) -> bool:
+    def joined(self, left: str, sign: str, right: str, strict: bool = False) -> bool:
         """Whether the two parts are one divided word."""
         a, b = left.lower(), right.lower()
+        if strict:
+            return a + b in self.words and not (a in self.words and b in self.words)
         if f"{a}-{b}" in self.words and a + b not in self.words:
             return False
         if sign in "¬­" or a + b in self.words:
@@ -217,11 +268,13 @@ class Model:
         return not (a in self.words and b in self.words) or bool(self.candidates(a + b))
 
     def mend_divided(self, text: str) -> tuple[str, int]:
-        """The text with its divided words joined, and their number."""
+        """The text with its divided words joined, and their number. Inside a line
+        of an unflattened text only what makes a known word is joined."""
         parts, at, n = [], 0, 0
-        for m in (_DIVIDED_FLAT if is_flat(text) else _DIVIDED_LINE).finditer(text):
-            left, right = _ENDING.search(text, max(at, m.start() - 40), m.start()), _BEGINNING.match(text, m.end())
-            if left and self.joined(left.group(), m.group()[0], right.group()):
+        flat = is_flat(text)
+        for m in (_DIVIDED_FLAT if flat else _DIVIDED_ANY).finditer(text):
+            left, right = _ENDING.search(text, max(at, _word_start(text, m.start())), m.start()), _BEGINNING.match(text, m.end())
+            if left and self.joined(left.group(), m.group()[0], right.group(), not flat and "\n" not in m.group()):
                 parts.append(text[at : m.start()])
                 at, n = m.end(), n + 1
         return ("".join([*parts, text[at:]]) if n else text), n
