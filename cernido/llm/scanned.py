@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cernido.tables import hashed, latest, spread, written
+from cernido.tables import bounded_broadcast, hashed, latest, scratch_path, spread, written
 
 SCANNED = ["ocr", "both"]
 
@@ -32,14 +32,14 @@ CONFUSIONS = {
     "rn": ["m"], "m": ["rn"], "fi": ["ti"], "f": ["t"], "vv": ["w"], "cl": ["d"], "d": ["cl"], "ii": ["u"], "ri": ["n"],
     "s": ["5"], "g": ["q"], "t": ["f"],
 }
-#: log probability of one confusion
+#: log probability of one confusion before any is estimated
 CONFUSED = math.log(0.002)
 #: a word or word pair of the model makes up at least this share of the corpus,
 #: which bounds the model by a million words and half a million pairs
 WORD_SHARE, PAIR_SHARE = 1e-6, 2e-6
-#: at most so many confusions in a word, which has at least so many characters;
-#: with a digit one less, as such a word can't be right unless it's a code
+#: at most so many confusions in a word, and one for every four letters of a longer one
 MOST_EDITS = 3
+#: shorter words are only misread where they stand free of codes
 LEAST_LENGTH = 4
 
 _HYPHEN = "-‐‑–¬­"
@@ -104,9 +104,8 @@ def _run_start(text: str, end: int) -> int:
     """Where the word before the blanks that end there begins."""
     while end and text[end - 1] in " \t":
         end -= 1
-    while end and not text[end - 1].isspace():
-        end -= 1
-    return end
+    start = text.rfind(" ", 0, end) + 1
+    return max(start, text.rfind("\n", start, end) + 1, text.rfind("\t", start, end) + 1)
 
 
 def is_flat(text: str) -> bool:
@@ -193,67 +192,81 @@ def anchors(text: str) -> dict[str, str | None]:
 
 @dataclass
 class Model:
-    """Word and word-pair counts of unscanned text."""
+    """Word and word-pair counts of unscanned text, and the log probability of
+    each confusion (what is read, what stands there)."""
 
     words: dict[str, int]
     pairs: dict[tuple[str, str], int]
     total: int
-    safe: set[str] = field(default_factory=set)
+    channel: dict[tuple[str, str], float] = field(default_factory=dict)
     _begun: set[str] = field(default_factory=set)
     _memo: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self._begun = {w[:i] for w in self.words for i in range(len(w) + 1)}
-        self.safe = {w for w, n in self.words.items() if not any(self.words[c] > n for c, _ in self.candidates(w))}
+
+    def alignments(self, read: str) -> dict[str, list[tuple[str, str]]]:
+        """Known words that confusions turn into ``read``, each with its likeliest
+        confusions. All digits must be explained."""
+        found: dict[str, list[tuple[str, str]]] = {}
+        if len(read) < 2 or not any(c.isalpha() for c in read) or _ORDINAL.match(read):
+            return found
+        most = max(MOST_EDITS, len(read) // 4)
+        if sum(map(str.isdigit, read)) > most:
+            return found
+        stack: list[tuple[int, str, list[tuple[str, str]]]] = [(0, "", [])]
+        while stack:
+            i, made, edits = stack.pop()
+            if made not in self._begun:
+                continue
+            if i == len(read):
+                if edits and made in self.words and made != read and (made not in found or self._cost(edits) > self._cost(found[made])):
+                    found[made] = edits
+                continue
+            if not read[i].isdigit():
+                stack.append((i + 1, made + read[i], edits))
+            if len(edits) < most:
+                for width in (1, 2):
+                    part = read[i : i + width]
+                    if len(part) == width:
+                        stack += [(i + width, made + true, [*edits, (part, true)]) for true in CONFUSIONS.get(part, ())]
+        return found
+
+    def _cost(self, edits: list[tuple[str, str]]) -> float:
+        return sum(self.channel.get(x, CONFUSED) for x in edits)
 
     def candidates(self, read: str) -> list[tuple[str, float]]:
-        """Known words that confusions turn into ``read``, with the channel's log
-        probability. All digits must be explained."""
-        if read in self._memo:
-            return self._memo[read]
-        found: dict[str, float] = {}
-        digits = sum(c.isdigit() for c in read)
-        least = LEAST_LENGTH - 1 if digits and not _ORDINAL.match(read) else LEAST_LENGTH
-        if any(c.isalpha() for c in read) and least <= len(read) <= 40 and digits <= MOST_EDITS:
-            stack = [(0, "", 0)]
-            while stack:
-                i, made, edits = stack.pop()
-                if made not in self._begun:
-                    continue
-                if i == len(read):
-                    if edits and made in self.words and made != read:
-                        found[made] = max(found.get(made, -1e9), edits * CONFUSED)
-                    continue
-                if not read[i].isdigit():
-                    stack.append((i + 1, made + read[i], edits))
-                if edits < MOST_EDITS:
-                    for width in (1, 2):
-                        part = read[i : i + width]
-                        if len(part) == width:
-                            stack += [(i + width, made + true, edits + 1) for true in CONFUSIONS.get(part, ())]
-        if len(self._memo) > 200_000:
-            self._memo.clear()
-        self._memo[read] = list(found.items())
+        """Known words that confusions turn into ``read``, with the channel's log probability."""
+        if read not in self._memo:
+            if len(self._memo) > 200_000:
+                self._memo.clear()
+            self._memo[read] = [(word, self._cost(edits)) for word, edits in self.alignments(read).items()]
         return self._memo[read]
 
     def log_p(self, word: str, before: str | None) -> float:
-        alone = (self.words.get(word, 0) + 0.01) / (self.total + 1)
+        """Likelihood of a word in its place. An unknown one is the less likely the
+        more digits it has, as words are spelled without."""
+        n = self.words.get(word)
+        if n is None:
+            alone, digits = 0.01 / (self.total + 1), sum(map(str.isdigit, word))
+        else:
+            alone, digits = (n + 0.01) / (self.total + 1), 0
         if before is None or before not in self.words:
-            return math.log(alone)
-        return math.log(0.7 * self.pairs.get((before, word), 0) / self.words[before] + 0.3 * alone)
+            return math.log(alone) + digits * CONFUSED
+        return math.log(0.7 * self.pairs.get((before, word), 0) / self.words[before] + 0.3 * alone) + digits * CONFUSED
 
-    def decode(self, read: list[str]) -> list[str]:
-        """The most likely words behind one line, by Viterbi."""
-        best: dict[str | None, tuple[float, list[str]]] = {None: (0.0, [])}
+    def decode(self, read: list[str], before: str | None = None, after: str | None = None) -> list[str]:
+        """The most likely words behind neighbours that may be misread, by Viterbi,
+        given the words around them."""
+        best: dict[str | None, tuple[float, list[str]]] = {before: (0.0, [])}
         for word in read:
-            options = [(word, 0.0)] if word in self.safe else [(word, 0.0), *self.candidates(word)]
             step = {}
-            for option, channel in options:
-                score, path = max(
-                    ((s + self.log_p(option, before), p) for before, (s, p) in best.items()), key=lambda x: x[0]
-                )
+            for option, channel in [(word, 0.0), *self.candidates(word)]:
+                score, path = max(((s + self.log_p(option, prior), p) for prior, (s, p) in best.items()), key=lambda x: x[0])
                 step[option] = (score + channel, [*path, option])
             best = step
+        if after is not None:
+            best = {word: (s + self.log_p(after, word), path) for word, (s, path) in best.items()}
         return max(best.values(), key=lambda x: x[0])[1]
 
     def joined(self, left: str, sign: str, right: str, strict: bool = False) -> bool:
@@ -284,7 +297,7 @@ class Model:
         lower = text.lower()
         if len(lower) != len(text):
             lower = text
-        doubtful = {w for w in set(_TOKEN.findall(lower)) - self.safe if not w.isdigit() and self.candidates(w)}
+        doubtful = {w for w in set(_TOKEN.findall(lower)) if not w.isdigit() and self.candidates(w)}
         if not doubtful:
             return text, 0
         masked = []
@@ -295,27 +308,35 @@ class Model:
             masked.append((start, _BLANK.search(text, m.end()).start()))
         changed, parts, at = 0, [], 0
         for line in re.finditer(r"[^\n]+", text):
-            a, b = line.span()
-            found = [m for m in _TOKEN.finditer(lower, a, b)]
-            if not any(m.group() in doubtful for m in found):
-                continue
-            found = [m for m in found if not any(s <= m.start() < e for s, e in masked) and (len(m.group()) >= LEAST_LENGTH or _stands_free(lower, m))]
+            found = list(_TOKEN.finditer(lower, *line.span()))
+            if masked:
+                found = [m for m in found if not any(s <= m.start() < e for s, e in masked)]
             read = [m.group() for m in found]
-            for m, word in zip(found, self.decode(read), strict=True):
-                if word != m.group():
-                    changed += 1
-                    if apply:
-                        parts += [text[at : m.start()], _like(text[m.start() : m.end()], word)]
-                        at = m.end()
+            open_ = [w in doubtful and (len(w) >= LEAST_LENGTH or _stands_free(lower, m)) for w, m in zip(read, found, strict=True)]
+            # a word of one reading only divides the line: what is before it doesn't bear on what comes after
+            i = 0
+            while i < len(read):
+                if not open_[i]:
+                    i += 1
+                    continue
+                j = i + 1
+                while j < len(read) and open_[j]:
+                    j += 1
+                best = self.decode(read[i:j], read[i - 1] if i else None, read[j] if j < len(read) else None)
+                for m, word in zip(found[i:j], best, strict=True):
+                    if word != m.group():
+                        changed += 1
+                        if apply:
+                            parts += [text[at : m.start()], _like(text[m.start() : m.end()], word)]
+                            at = m.end()
+                i = j
             if changed and not apply:
                 break
         return ("".join([*parts, text[at:]]) if apply else text), changed
 
 
 def _stands_free(text: str, m: re.Match) -> bool:
-    """Whether a short word is no piece of a code; words without digits are none."""
-    if not any(c.isdigit() for c in m.group()):
-        return True
+    """Whether a short word is no piece of a code."""
     return bool(_BEFORE_FREE.search(text, max(0, m.start() - 1), m.start()) and _AFTER_FREE.match(text, m.end()))
 
 
@@ -369,66 +390,101 @@ def without_header(text: str, header: list[tuple[str, str | None]]) -> str:
     return without(text, merged, "")
 
 
-def count_words(chunks: DataFrame) -> DataFrame:
-    """(a, b, n): how often word b follows a, and word b alone where a is null,
-    over the texts whose own method isn't that of a scan. Counted in blocks
-    within the tasks, so the shuffle holds words and not text."""
-    clean = chunks.filter(F.col("text").isNotNull() & (F.col("method").isNull() | ~F.col("method").isin(SCANNED)))
+def chunk_texts(chunks: DataFrame, pages: DataFrame) -> DataFrame:
+    """(chunk_id, file_id, text, scanned) of the latest rows, written by ``scanned``:
+    whether the page at page_start was. Which rows are the latest and which
+    pages were scanned is found without the text, so the text is shuffled once.
+    Rows that tie are copies of each other and may stay several."""
+    newest = latest(chunks.select("chunk_id", "file_id", "page_start", "updated_at"), ["chunk_id"])
+    page = latest(pages.select("file_id", "page_number", "method", "updated_at"), ["file_id", "page_number"])
+    page = page.filter(F.col("method").isin(SCANNED)).select("file_id", F.col("page_number").alias("page_start"), F.lit(True).alias("scanned"))
+    keys = newest.join(page, ["file_id", "page_start"], "left").select("chunk_id", F.col("updated_at").alias("at"), F.coalesce("scanned", F.lit(False)).alias("scanned"))
+    rows = hashed(chunks.filter("text is not null").select("chunk_id", "file_id", "text", "updated_at"), "chunk_id")
+    texts = rows.join(hashed(keys, "chunk_id"), "chunk_id").filter(F.col("updated_at").eqNullSafe(F.col("at"))).drop("updated_at", "at")
+    path = scratch_path(chunks.sparkSession, "texts")
+    texts.write.partitionBy("scanned").parquet(path)
+    return chunks.sparkSession.read.schema(texts.schema).parquet(path)
+
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """(scanned, a, b, n): how often word b follows a, and word b alone where a is
+    null; in scanned texts words only. Counted in blocks within the tasks, so
+    the shuffle holds words and not text."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, pairs = Counter(), Counter()
+        words, pairs, read = Counter(), Counter(), Counter()
 
         def flush() -> pd.DataFrame:
-            rows = [(None, w, n) for w, n in words.items()] + [(a, b, n) for (a, b), n in pairs.items()]
-            words.clear()
-            pairs.clear()
-            return pd.DataFrame(rows, columns=["a", "b", "n"])
+            rows = [(False, None, w, n) for w, n in words.items()] + [(False, a, b, n) for (a, b), n in pairs.items()]
+            rows += [(True, None, w, n) for w, n in read.items()]
+            for counter in (words, pairs, read):
+                counter.clear()
+            return pd.DataFrame(rows, columns=["scanned", "a", "b", "n"])
 
         for batch in batches:
-            for text in batch["text"]:
+            for text, scanned in zip(batch["text"], batch["scanned"], strict=True):
+                if scanned:
+                    read.update(_TOKEN.findall(text.lower()))
+                    continue
                 found = _COUNTED.findall(_DIVIDED.sub(" ", text).lower())
                 words.update(found)
                 pairs.update(zip(found, found[1:], strict=False))
-            if len(pairs) > 1_000_000:
+            if len(pairs) + len(read) > 1_000_000:
                 yield flush()
         yield flush()
 
-    return spread(clean.select("text")).mapInPandas(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counted = spread(texts.select("text", "scanned")).mapInPandas(count, "scanned boolean, a string, b string, n long")
+    return counted.groupBy("scanned", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def fit_model(chunks: DataFrame) -> Model:
-    """The corpus' language model. Its size is bounded by the shares, whatever
-    the corpus; the counts cover all unscanned text."""
-    counts = written(count_words(chunks), "words")
-    total = counts.filter("a is null").agg(F.sum("n")).first()[0] or 0
-    kept = counts.filter(
+def fit_model(texts: DataFrame) -> Model:
+    """The corpus' language model, from all unscanned text, and its channel, from
+    all words of scanned text. The model's size is bounded by the shares,
+    whatever the corpus, that of the channel by the confusions there are."""
+    counts = written(count_words(texts), "words")
+    clean = counts.filter("not scanned")
+    total = clean.filter("a is null").agg(F.sum("n")).first()[0] or 0
+    kept = clean.filter(
         (F.col("a").isNull() & (F.col("n") >= max(2, total * WORD_SHARE))) | (F.col("a").isNotNull() & (F.col("n") >= max(2, total * PAIR_SHARE)))
     )
     words, pairs = {}, {}
-    for a, b, n in kept.toLocalIterator():
+    for _, a, b, n in kept.toLocalIterator():
         if a is None:
             words[b] = n
         else:
             pairs[a, b] = n
-    return Model(words, {k: n for k, n in pairs.items() if k[0] in words and k[1] in words}, total)
-
+    pairs = {k: n for k, n in pairs.items() if k[0] in words and k[1] in words}
+    return Model(words, pairs, total, estimate_channel(counts.filter("scanned").select("b", "n"), Model(words, {}, total)))
 
-def scanned_chunks(chunks: DataFrame, pages: DataFrame) -> DataFrame:
-    """(chunk_id, file_id, text, updated_at, at) of chunks whose page at page_start
-    was scanned, ``at`` being the time of the latest row. Which chunks these are
-    is found without the text, so the text is shuffled once."""
-    newest = latest(chunks.select("chunk_id", "file_id", "page_start", "updated_at"), ["chunk_id"])
-    page = latest(pages.select("file_id", "page_number", "method", "updated_at"), ["file_id", "page_number"])
-    page = page.filter(F.col("method").isin(SCANNED)).select("file_id", F.col("page_number").alias("page_start"))
-    keys = newest.join(page, ["file_id", "page_start"]).select("chunk_id", F.col("updated_at").alias("at"))
-    rows = chunks.filter("text is not null").select("chunk_id", "file_id", "text", "updated_at")
-    return hashed(rows, "chunk_id").join(hashed(keys, "chunk_id"), "chunk_id")
 
+def estimate_channel(read: DataFrame, model: Model) -> dict[tuple[str, str], float]:
+    """Log probabilities of the confusions, from the distinct words (b, n) of scanned
+    text: those that are unknown and come of one known word are aligned with
+    it, and each confusion is counted against the places where its right
+    characters were read as they are."""
+    shared = read.sparkSession.sparkContext.broadcast(model)
 
-def _newest(batch: pd.DataFrame) -> pd.DataFrame:
-    """The rows of ``scanned_chunks`` that are the latest of their chunk."""
-    same = (batch["updated_at"] == batch["at"]) | (batch["updated_at"].isna() & batch["at"].isna())
-    return batch[same]
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, wrong, right = shared.value, Counter(), Counter()
+        trues = {true for some in CONFUSIONS.values() for true in some}
+        for batch in batches:
+            for word, n in zip(batch["b"], batch["n"], strict=True):
+                if word in known.words:
+                    for true in trues:
+                        if true in word:
+                            right[true] += n * word.count(true)
+                elif len(word) >= LEAST_LENGTH and len(found := known.alignments(word)) == 1:
+                    for edit in next(iter(found.values())):
+                        wrong[edit] += n
+        rows = [(a, b, n) for (a, b), n in wrong.items()] + [(None, b, n) for b, n in right.items()]
+        yield pd.DataFrame(rows, columns=["part", "true", "n"])
+
+    counted = read.mapInPandas(align, "part string, true string, n long").groupBy("part", "true").agg(F.sum("n").alias("n")).collect()  # a row a confusion
+    right = {r["true"]: r["n"] for r in counted if r["part"] is None}
+    wrong = {(r["part"], r["true"]): r["n"] for r in counted if r["part"] is not None}
+    every = [(part, true) for part, some in CONFUSIONS.items() for true in some]
+    # twenty places' worth of the value assumed before
+    return {x: math.log((wrong.get(x, 0) + 20 * math.exp(CONFUSED)) / (right.get(x[1], 0) + wrong.get(x, 0) + 20)) for x in every}
 
 
 def noise_marks(scanned: DataFrame, model: Model) -> DataFrame:
@@ -438,7 +494,7 @@ def noise_marks(scanned: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        for batch in map(_newest, batches):
+        for batch in batches:
             rows = []
             for chunk, file, text in zip(batch["chunk_id"], batch["file_id"], batch["text"], strict=True):
                 rows += [(chunk, file, kind, None, None) for kind in noise_kinds(text, known)]
@@ -484,7 +540,8 @@ def header_anchors(marks: DataFrame, chunks_of_file: DataFrame) -> DataFrame:
 
 
 def _marks_and_headers(chunks: DataFrame, pages: DataFrame) -> tuple[DataFrame, Model, DataFrame, DataFrame]:
-    scanned, model = scanned_chunks(chunks, pages), fit_model(chunks)
+    texts = chunk_texts(chunks, pages)
+    model, scanned = fit_model(texts), spread(texts.filter("scanned").select("chunk_id", "file_id", "text"))
     marks = written(noise_marks(scanned, model), "marks")
     newest = latest(chunks.select("chunk_id", "file_id", "updated_at"), ["chunk_id"])
     return scanned, model, marks, header_anchors(marks, newest.groupBy("file_id").agg(F.count("*").alias("n")))
@@ -522,12 +579,13 @@ def repaired(chunks: DataFrame, pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        for batch in map(_newest, batches):
+        for batch in batches:
             texts = []
             for text, header in zip(batch["text"], batch["header"], strict=True):
                 header = [] if header is None else [(h["anchor"], h["line"]) for h in header]
                 texts.append(repair(text, known, header))
             yield pd.DataFrame({"chunk_id": batch["chunk_id"], "text": texts})
 
-    rows = scanned.join(lines, "file_id", "left").select("chunk_id", "text", "header", "updated_at", "at")
+    # few files have a header beside the texts they hold: broadcast if counted to be few, else joined with hot files split by AQE
+    rows = scanned.join(bounded_broadcast(lines), "file_id", "left").select("chunk_id", "text", "header")
     return rows.mapInPandas(run, "chunk_id string, text string").dropDuplicates(["chunk_id"])

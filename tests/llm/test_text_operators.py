@@ -190,6 +190,27 @@ def test_short_words_with_digits_are_misread():
         assert model.misread(kept, apply=True) == (kept, 0)
 
 
+def test_words_of_any_length_and_bare_page_numbers():
+    words = {w: 50 for w in "el sol del mes extraordinariamentelargoprofesionalmente en la nómina hasta nuevo aviso observatorio plan".split()}
+    model = scanned.Model(words, {}, 10_000)
+    assert model.misread("e1 5ol de1 me5", apply=True) == ("el sol del mes", 4)
+    long = "extra0rdinariamente1argopr0fesi0na1mente"
+    assert model.misread(long, apply=True)[0] == "extraordinariamentelargoprofesionalmente"
+    assert model.mend_divided("la nómina\nen el observato- rio") == ("la nómina\nen el observatorio", 1)
+    for text, page in (("12\nEl sol.", True), ("El plan del mes.\n7", True), ("la nómina hasta\n47\nnuevo aviso", True), ("El plan.\n361\n343\n252", False),
+                       ("tel. +56 9 0732\n1934", False), ("calle Sol 1017, block\n9\n\nEl", False), ("Av. Sol\n55\n\n", False), ("al 56\n9\n0547", False)):
+        assert bool(scanned.page_numbers(text)) == page, text
+    assert scanned.repair("la nómina hasta\n47\nnuevo aviso", model) == "la nómina hasta nuevo aviso"
+
+
+def test_the_channel_is_estimated_from_aligned_words(spark):
+    model = scanned.Model({"oficina": 100, "sol": 50}, {}, 1000)
+    read = spark.createDataFrame([("oficina", 1000), ("0ficina", 100), ("oflcina", 10), ("zzz", 9)], "b string, n long")
+    channel = scanned.estimate_channel(read, model)
+    assert math.exp(channel["0", "o"]) == pytest.approx(100 / 1100, rel=0.1) and math.exp(channel["l", "i"]) == pytest.approx(10 / 2010, rel=0.1)
+    assert channel["0", "o"] > channel["l", "i"] > channel["5", "s"]
+
+
 def test_headers_of_hot_files_and_on_few_chunks(spark):
     """(file, anchor): chunks with it. The hot file has a third of all chunks."""
     sizes = {"hot": 1000, "small": 12, "long": 30, "letter": 4} | {f"other{i}": 20 for i in range(5)} | {f"f{i}": 5 for i in range(400)}
