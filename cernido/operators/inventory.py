@@ -78,16 +78,34 @@ def snapshot_state(prior_exists: Column, current: Column, prior: Column, reusabl
     )
 
 
-def snapshot_states(files: DataFrame, runs: DataFrame) -> DataFrame:
+def reusable(route_type: Column, route_status: Column, text_status: Column, table_status: Column, entity_status: Column) -> Column:
+    """Whether the results of a file's earlier revision can serve again, by its route."""
+    done = (
+        F.when(route_type == "unsupported", route_status == "unsupported")
+        .when(route_type == "table", table_status.isin("table_profile_completed", "table_discovery_completed"))
+        .when(route_type.isin("pdf", "doc", "ocr"), (text_status == "text_extraction_completed") & (entity_status == "entity_extraction_completed"))
+    )
+    return F.coalesce(done, F.lit(False))
+
+
+def snapshot_states(files: DataFrame, runs: DataFrame, results: DataFrame | None = None, force: bool = False) -> DataFrame:
     """(run_id, file_id, source_uri, state, previous_file_id) of completed runs: each
     listed file against the latest earlier completed run of its chain that
-    lists the same uri (an as-of join, as a window over one uri of one chain)."""
+    lists the same uri (an as-of join, as a window over one uri of one chain).
+    ``results``: (file_id, reusable) of earlier files; a file that isn't in them
+    has nothing to reuse. Without ``results`` every earlier result can be reused."""
     rows = latest(files, ["file_id"]).drop(*CHAIN).join(completed_runs(runs).select("run_id", *CHAIN, "seq"), "run_id")
     rows = rows.withColumn("revision", revision_key())
     before = Window.partitionBy(*CHAIN, "source_uri").orderBy("seq", "file_id")
-    prior_id, prior = F.lag("file_id").over(before), F.lag("revision").over(before)
-    state = snapshot_state(prior_id.isNotNull(), F.col("revision"), prior, F.lit(True), F.lit(False))
-    return rows.select("run_id", "file_id", "source_uri", state.alias("state"), prior_id.alias("previous_file_id"))
+    rows = rows.select(
+        "run_id", "file_id", "source_uri", "revision", F.lag("file_id").over(before).alias("previous_file_id"), F.lag("revision").over(before).alias("prior")
+    )
+    can = F.lit(True)
+    if results is not None:
+        served = results.select(F.col("file_id").alias("previous_file_id"), F.col("reusable").alias("__can"))
+        rows, can = rows.join(served, "previous_file_id", "left"), F.coalesce(F.col("__can"), F.lit(False))
+    state = snapshot_state(F.col("previous_file_id").isNotNull(), F.col("revision"), F.col("prior"), can, F.lit(force))
+    return rows.select("run_id", "file_id", "source_uri", state.alias("state"), "previous_file_id")
 
 
 def tombstones(files: DataFrame, runs: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cernido.functions import textnorm as tn
 from cernido.functions import validators as v
-from cernido.functions.spans import PATTERNS, detect, pattern_spans, term_spans
+from cernido.functions.spans import PATTERNS, TERMS, detect, pattern_spans, term_spans
 from cernido.operators import chunking, discovery, inventory, reporting, resolution
 from cernido.tables import latest, table
 
@@ -37,6 +39,10 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
 # ---- normalizers and validators ---------------------------------------------------------
 
 
+def _list(values) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in values) + "]"
+
+
 def norm_keys(spark, d):
     """Both key families and identifiers of file names."""
     c = F.col("file_name")
@@ -143,16 +149,28 @@ SELECT p_partkey, CASE WHEN k % 200 <= 130 THEN CAST(k % 200 AS VARCHAR) END AS
 
 
 def canonical_types(spark, d):
-    """Canonical type and decision route of each recorded type."""
+    """Canonical type and decision route of each recorded type, and of the names
+    that detectors give: aliases, suffixes, the label model's prefix, unknown ones."""
+    rows = _entities(spark, d).select("entity_type", "raw_entity_type")
+    names = [a for some in tn.TYPE_ALIASES.values() for a in some] + ["AGE", "PASSWORD", "MEDICAL_TEST", "SOMETHING"]
+    spelled = [(f"{prefix}{n.lower() if prefix else n}{suffix}", None) for n in names for prefix in ("", "GLINER2_") for suffix in ("", "_REGEX", "_DENY_LIST", "_CONTEXT_REGEX")]
+    rows = rows.unionByName(spark.createDataFrame(spelled + [("OTHER", n) for n in names], "entity_type string, raw_entity_type string"))
     kind = tn.canonical_type(F.col("entity_type"), F.col("raw_entity_type"))
     way = F.when(kind.isin(*tn.BASE_TYPES), "base").when(kind.isin(*tn.LOCAL_TYPES), "local").when(kind.isin(*tn.SCORE_TYPES), "score").when(kind.isin(*tn.MODEL_TYPES), "model").otherwise("none")
-    return _entities(spark, d).select(kind.alias("canonical"), way.alias("route")).groupBy("canonical", "route").agg(F.count("*").alias("n"))
+    return rows.select(kind.alias("canonical"), way.alias("route")).groupBy("canonical", "route").agg(F.count("*").alias("n"))
 
 
-_TYPES = f"""WITH {_E} SELECT entity_type AS canonical, CASE
-  WHEN entity_type IN ('RUT','PHONE','EMAIL','HEALTH_SYSTEM','MARITAL_STATUS') THEN 'base' WHEN entity_type IN ('AGE','DATE') THEN 'local'
-  WHEN entity_type IN ('DOCUMENT_ID','USERNAME') THEN 'score' WHEN entity_type IN ('NAME','ORGANIZATION','LOCATION','ADDRESS','MEDICAL_PROBLEM') THEN 'model'
-  ELSE 'none' END AS route, count(*) AS n FROM e GROUP BY ALL"""
+_ALIAS_ROWS = ", ".join(f"('{kind}', '{a}')" for kind, some in tn.TYPE_ALIASES.items() for a in some)
+_TYPES = f"""WITH {_E}, a(kind, alias) AS (VALUES {_ALIAS_ROWS}), named AS (SELECT alias AS n FROM a UNION ALL SELECT unnest(['AGE', 'PASSWORD', 'MEDICAL_TEST', 'SOMETHING'])),
+x AS (SELECT entity_type AS t, raw_entity_type AS r FROM e UNION ALL
+  SELECT p || CASE WHEN p = '' THEN n ELSE lower(n) END || s, NULL FROM named CROSS JOIN (SELECT unnest(['', 'GLINER2_']) AS p) CROSS JOIN (SELECT unnest(['', '_REGEX', '_DENY_LIST', '_CONTEXT_REGEX']) AS s)
+  UNION ALL SELECT 'OTHER', n FROM named),
+y AS (SELECT regexp_replace(regexp_replace(upper(trim(t)), '(_CONTEXT_REGEX|_DENY_LIST|_REGEX)$', ''), '^GLINER2_', '') AS t,
+             regexp_replace(regexp_replace(upper(trim(coalesce(r, ''))), '(_CONTEXT_REGEX|_DENY_LIST|_REGEX)$', ''), '^GLINER2_', '') AS r FROM x),
+f AS (SELECT unnest({_list((*tn.BASE_TYPES, *tn.LOCAL_TYPES, *tn.SCORE_TYPES, *tn.MODEL_TYPES))}) AS fixed),
+z AS (SELECT coalesce((SELECT kind FROM a WHERE alias = t), (SELECT fixed FROM f WHERE fixed = t), (SELECT kind FROM a WHERE alias = r), (SELECT fixed FROM f WHERE fixed = r), t) AS canonical FROM y)
+SELECT canonical, CASE WHEN list_contains({_list(tn.BASE_TYPES)}, canonical) THEN 'base' WHEN list_contains({_list(tn.LOCAL_TYPES)}, canonical) THEN 'local'
+  WHEN list_contains({_list(tn.SCORE_TYPES)}, canonical) THEN 'score' WHEN list_contains({_list(tn.MODEL_TYPES)}, canonical) THEN 'model' ELSE 'none' END AS route, count(*) AS n FROM z GROUP BY ALL"""
 
 
 # ---- spans ------------------------------------------------------------------------------
@@ -189,6 +207,15 @@ def term_hits(spark, d):
     return term_spans(_chunks(spark, d)).groupBy("entity_type").agg(F.count("*").alias("hits"), F.count_distinct("chunk_id").alias("chunks"))
 
 
+# Every sign that is no word character is doubled, so that neighbours can share it.
+_TERM_ROWS = ", ".join(
+    f"('{kind}', '(^|[^0-9A-Za-z_])' || '{re.sub(r"\s+", r"[ \\n\\t]+", term.lower()).replace(".", "[.][.]")}' || '($|[^0-9A-Za-z_])')" for kind, terms in TERMS.items() for term in dict.fromkeys(x.lower() for x in terms)
+)
+_TERM_HITS = rf"""WITH {_C}, t(kind, re) AS (VALUES {_TERM_ROWS}), x AS (SELECT chunk_id, regexp_replace(lower(strip_accents(text)), '([^0-9A-Za-z_])', '\1\1', 'g') AS u FROM c),
+h AS (SELECT kind, chunk_id, len(regexp_extract_all(u, re)) AS n FROM x CROSS JOIN t)
+SELECT kind AS entity_type, CAST(sum(n) AS BIGINT) AS hits, count(DISTINCT chunk_id) AS chunks FROM h WHERE n > 0 GROUP BY 1"""
+
+
 def detected_counts(spark, d):
     """All spans of all detectors by type and source, with offsets that must fit the text."""
     found = detect(_chunks(spark, d))
@@ -294,6 +321,17 @@ def header_types(spark, d):
     return context.select("table_name", "column_name", "column_key", "date_type", "numeric_type", "specific", F.size("header_types").alias("told"))
 
 
+_TYPE_ROWS = ", ".join(f"('{k}', {_list(discovery.HEADER_TOKENS[k])}, {_list(discovery.HEADER_PHRASES[k])})" for k in discovery.ENTITY_ORDER)
+_HEADERS = rf"""WITH t(kind, tokens, phrases) AS (VALUES {_TYPE_ROWS}),
+c AS ({" UNION ALL ".join(f"SELECT '{x}' AS table_name, column_name, lower(column_type) AS ct FROM (DESCRIBE {x})" for x in DISCOVERED)}),
+k AS (SELECT *, lower(trim(regexp_replace(strip_accents(column_name), '[^A-Za-z0-9]+', '_', 'g'), '_')) AS column_key FROM c),
+w AS (SELECT *, string_split(column_key, '_') AS words FROM k)
+SELECT table_name, column_name, column_key, contains(ct, 'date') OR contains(ct, 'time') AS date_type,
+  len(list_filter({_list(discovery.NUMERIC_WORDS)}, lambda n: contains(ct, n))) > 0 AS numeric_type,
+  NOT list_contains({_list(discovery.GENERIC_WORDS)}, column_key) AND NOT list_has_all({_list(discovery.GENERIC_WORDS)}, words) AS specific,
+  (SELECT count(*) FROM t WHERE list_contains(phrases, column_key) OR list_has_any(words, tokens)) AS told FROM w"""
+
+
 def match_rates(spark, d):
     """How many values of the columns of two tables pass each check."""
     frames = {t: table(spark, d, t) for t in ("files", "orders")}
@@ -313,6 +351,14 @@ def match_rates_all(spark, d):
     return discovery.match_rates(frames, {t: discovery.profile_of(df, t) for t, df in frames.items()}, TODAY)
 
 
+# Dates by value: the written form, a day that the calendar has from 1900 to today, in a column whose name doesn't speak against a birth.
+_DATE_OK = r"""regexp_full_match(x, '(\d{{4}}[-/.]\d{{1,2}}[-/.]\d{{1,2}}|\d{{1,2}}[-/.]\d{{1,2}}[-/.](\d{{2}}|\d{{4}}))([T\s]+\d{{1,2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?)?')
+    AND (NOT list_has_any(string_split(cols.column_name, '_'), {not_birth}) OR list_has_any(string_split(cols.column_name, '_'), {told}) OR list_contains({phrases}, cols.column_name))
+    AND coalesce(CASE WHEN regexp_matches(x, '^\d{{4}}') THEN try_cast(regexp_replace(x, '^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}}).*$', '\1-\2-\3') AS DATE) BETWEEN DATE '1900-01-01' AND DATE '{today}'
+      ELSE try_cast(regexp_replace(x, '^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}}).*$', '\3-\2-\1') AS DATE) BETWEEN DATE '1900-01-01' AND DATE '{today}'
+        OR try_cast(regexp_replace(x, '^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}}).*$', '\3-\1-\2') AS DATE) BETWEEN DATE '1900-01-01' AND DATE '{today}' END, false)""".format(
+    not_birth=_list(discovery.NOT_BIRTH_WORDS), told=_list(discovery.HEADER_TOKENS["DATE"]), phrases=_list(discovery.HEADER_PHRASES["DATE"]), today=TODAY
+)
 _RATES = r"""WITH v AS (
   SELECT 'files' AS table_name, column_name, trim(left(trim(value), 256)) AS x FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (
     SELECT * REPLACE (CAST(discovered_at AS TIMESTAMP) AS discovered_at, CAST(updated_at AS TIMESTAMP) AS updated_at) FROM files)) ON COLUMNS(*) INTO NAME column_name VALUE value)
@@ -325,11 +371,11 @@ cols AS (SELECT DISTINCT table_name, column_name FROM (SELECT table_name, column
 k AS (SELECT unnest(['EMAIL', 'DATE', 'TECHNICAL', 'GENDER_IDENTITY']) AS entity_type)
 SELECT cols.table_name, cols.column_name, k.entity_type, coalesce(count(n.x) FILTER (CASE k.entity_type
     WHEN 'EMAIL' THEN regexp_full_match(x, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}')
-    WHEN 'DATE' THEN cols.column_name IN ('discovered_at', 'updated_at', 'o_orderdate') AND cols.column_name <> 'updated_at'
+    WHEN 'DATE' THEN @DATE_OK@
     WHEN 'TECHNICAL' THEN NOT regexp_matches(x, '\s') AND (regexp_full_match(x, '[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}') OR regexp_full_match(x, '[0-9a-fA-F]{24,128}')
       OR (length(x) >= 32 AND regexp_full_match(x, '[A-Za-z0-9_+/=-]+')))
     ELSE lower(x) IN ('femenino', 'hombre', 'masculino', 'mujer', 'trans') END), 0) AS matched, count(n.x) AS sampled
-FROM cols CROSS JOIN k LEFT JOIN n ON n.table_name = cols.table_name AND n.column_name = cols.column_name GROUP BY ALL"""
+FROM cols CROSS JOIN k LEFT JOIN n ON n.table_name = cols.table_name AND n.column_name = cols.column_name GROUP BY ALL""".replace("@DATE_OK@", _DATE_OK)
 
 
 def column_findings(spark, d):
@@ -535,11 +581,11 @@ _PENDING = "SELECT delivery_no, queue_name, status, attempts, created_at, left(l
 
 
 def pending_top(spark, d):
-    """The hundred oldest unpublished deliveries (a top-k report)."""
-    return reporting.pending_outbox(table(spark, d, "queue_outbox"), 100).select("delivery_no")
+    """The twenty oldest unpublished deliveries (a top-k report)."""
+    return reporting.pending_outbox(table(spark, d, "queue_outbox"), 20).select("delivery_no")
 
 
-_TOP = "SELECT delivery_no FROM queue_outbox WHERE published_at IS NULL ORDER BY created_at, delivery_no LIMIT 100"
+_TOP = "SELECT delivery_no FROM queue_outbox WHERE published_at IS NULL ORDER BY created_at, delivery_no LIMIT 20"
 
 
 def file_listing(spark, d):
@@ -596,7 +642,7 @@ QUERIES = {
     "canonical_types": (canonical_types, _TYPES),
     "email_spans": (email_spans, _EMAIL_SPANS),
     "rut_spans_valid": (rut_spans_valid, _RUT_SPANS),
-    "term_hits": (term_hits, None),
+    "term_hits": (term_hits, _TERM_HITS),
     "detected_counts": (detected_counts, None),
     "accepted_entities": (accepted_entities, None),
     "overlap_join": (overlap_join, _OVERLAP),
@@ -604,7 +650,7 @@ QUERIES = {
     "island_choice": (island_choice, _CHOICE),
     "greedy_kept": (greedy_kept, _GREEDY),
     "value_dedupe": (value_dedupe, _DEDUPE),
-    "header_types": (header_types, None),
+    "header_types": (header_types, _HEADERS),
     "match_rates": (match_rates, _RATES),
     "match_rates_all": (match_rates_all, None),
     "column_findings": (column_findings, None),

@@ -9,18 +9,32 @@ from cernido.streaming.messages import completed_files, dead_letters, drain, jud
 from cernido.tables import latest, scratch_path, table
 
 
+def _spoiled(spark: SparkSession, d: str) -> DataFrame:
+    """All deliveries, some with a payload spoiled in each way that the contract rules out."""
+    n = F.col("delivery_no") % 11
+    payload = (
+        F.when(n == 1, "not json").when(n == 2, F.replace("payload", F.lit("file.routed"), F.lit("file.lost"))).when(n == 3, F.lit('{"event_type": "file.routed", "attempt": 1}'))
+        .when(n == 4, F.lit('{"event_type": "file.routed", "file_id": "other", "attempt": 1}')).when(n == 5, F.regexp_replace("payload", '"attempt": \\d+', '"attempt": 0'))
+        .otherwise(F.col("payload"))
+    )
+    return table(spark, d, "queue_outbox").withColumn("payload", payload)
+
+
 def contract_problems(spark: SparkSession, d: str) -> DataFrame:
     """Deliveries by contract problem."""
-    return judged(table(spark, d, "queue_outbox")).groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count("*").alias("n"))
+    return judged(_spoiled(spark, d)).groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count("*").alias("n"))
 
 
-_JUDGED = """WITH x AS (SELECT *, payload ->> '$.event_type' AS ev, payload ->> '$.file_id' AS fi, CAST(payload ->> '$.attempt' AS INT) AS att FROM queue_outbox),
+_JUDGED = r"""WITH s AS (SELECT * REPLACE (CASE delivery_no % 11 WHEN 1 THEN 'not json' WHEN 2 THEN replace(payload, 'file.routed', 'file.lost') WHEN 3 THEN '{"event_type": "file.routed", "attempt": 1}'
+    WHEN 4 THEN '{"event_type": "file.routed", "file_id": "other", "attempt": 1}' WHEN 5 THEN regexp_replace(payload, '"attempt": \d+', '"attempt": 0') ELSE payload END AS payload) FROM queue_outbox),
+x AS (SELECT *, CASE WHEN json_valid(payload) THEN payload ->> '$.event_type' END AS ev, CASE WHEN json_valid(payload) THEN payload ->> '$.file_id' END AS fi,
+  CASE WHEN json_valid(payload) THEN CAST(payload ->> '$.attempt' AS INT) END AS att FROM s),
 j AS (SELECT *, CASE WHEN ev IS NULL AND fi IS NULL AND att IS NULL THEN 'malformed_payload' WHEN ev IS NULL OR ev NOT IN ('file.routed', 'file.chunks_ready') THEN 'unknown_event'
   WHEN coalesce(fi, '') = '' THEN 'missing_file_id' WHEN fi <> file_id THEN 'file_mismatch' WHEN coalesce(att, 0) < 1 THEN 'bad_attempt' END AS problem FROM x)"""
 
 
 def poison(spark: SparkSession, d: str) -> DataFrame:
-    return dead_letters(table(spark, d, "queue_outbox"))
+    return dead_letters(_spoiled(spark, d))
 
 
 def stream_drain(spark: SparkSession, d: str) -> DataFrame:
