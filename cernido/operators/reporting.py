@@ -73,12 +73,12 @@ def stable_index(entities: DataFrame) -> DataFrame:
 
 def dedupe_by_value(entities: DataFrame) -> DataFrame:
     """One entity per (file_id, entity_type, value_key): the best by score, then
-    recorded index and id, with how many it stands for."""
+    recorded index and id, with how many it stands for. One minimum a value,
+    combined before the shuffle."""
     rows = latest(entities, ["file_id", "entity_id"])
     key = ["file_id", "entity_type", "value_key"]
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("score"), "entity_index", "entity_id"))
-    n = F.count("*").over(Window.partitionBy(*key))
-    return rows.withColumn("evidence_count", n).withColumn("__n", rank).filter("__n = 1").select(*key, "entity_id", "score", "evidence_count")
+    best = F.min(F.struct((-F.col("score")).alias("low"), "entity_index", "entity_id", "score")).alias("best")
+    return rows.groupBy(*key).agg(best, F.count("*").alias("evidence_count")).select(*key, "best.entity_id", "best.score", "evidence_count")
 
 
 def latest_snapshots(runs: DataFrame) -> DataFrame:

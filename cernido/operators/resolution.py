@@ -200,6 +200,12 @@ def _decided(rows: DataFrame, level: str, score: str, method: str) -> DataFrame:
 CHUNK = ["file_id", "chunk_id"]
 
 
+def entity_identity() -> Column:
+    """The id of an entity: 16 hex digits of the hash of what it is and where."""
+    identity = F.concat_ws("|", "entity_type", "value_key", "chunk_id", "start_pos", "end_pos", "source", "raw_entity_type")
+    return F.left(F.sha2(identity, 256), F.lit(16))
+
+
 def resolve(spans: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """Accepted entities of each file, by the order that decides:
 
@@ -250,9 +256,8 @@ def resolve(spans: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     )
     accepted = placed.filter("__n = 1").join(merged, ["file_id", "entity_type", "dedupe_key"])
     index = F.row_number().over(Window.partitionBy("file_id").orderBy(*_place("chunk_id", "__id"))) - 1
-    identity = F.concat_ws("|", "entity_type", "value_key", "chunk_id", "start_pos", "end_pos", "source", "raw_entity_type")
     return accepted.select(
-        "file_id", index.alias("entity_index"), F.left(F.sha2(identity, 256), F.lit(16)).alias("entity_id"), "entity_type",
+        "file_id", index.alias("entity_index"), entity_identity().alias("entity_id"), "entity_type",
         F.col("span_text").alias("text"), "normalized_value", "value_key", "source", "raw_entity_type", F.round("score", 6).alias("score"),
         "is_base", "confidence_level", F.round("decision_score", 6).alias("decision_score"), "decision_method", "chunk_id", "start_pos",
         "end_pos", "evidence",

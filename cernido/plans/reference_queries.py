@@ -297,6 +297,63 @@ g AS (
 SELECT file_id, unnest(list_transform(arg_max(kept, n), lambda x: x.id)) AS entity_id FROM g GROUP BY file_id, chunk_id"""
 
 
+def gated_entities(spark, d):
+    """Recorded entities of no base type that their route accepts: dates and ages by
+    their values, others by score, the rest by a scorer, here the text's length."""
+    rows = _placed(spark, d).withColumns({"normalized_value": F.lit(None).cast("string"), "value_key": F.lit(None).cast("string")})
+    out = resolution.gated(rows, lambda asked: asked.withColumn("model_score", (F.length("span_text") % 11) / 10))
+    return out.select("file_id", "entity_id", "confidence_level", F.round("decision_score", 6).alias("decision_score"), "decision_method", "normalized_value")
+
+
+_ASKED = _S.replace("FROM e)", f"FROM e WHERE entity_type IN ({', '.join(repr(x) for x in tn.MODEL_TYPES)}) AND score >= 0.5)")
+_GATED = (
+    _CHOICE.replace(_S, _ASKED)
+    .replace("WITH ", "WITH asked AS (WITH ", 1) + f"""),
+x AS (SELECT * FROM {E_TABLE} QUALIFY row_number() OVER (PARTITION BY file_id, entity_id ORDER BY updated_at DESC) = 1),
+l AS (SELECT file_id, entity_id, score, CASE entity_type WHEN 'AGE' THEN CASE WHEN regexp_full_match(trim(text), '[0-9]{{1,3}}') AND CAST(trim(text) AS INT) <= 130 THEN CAST(CAST(trim(text) AS INT) AS VARCHAR) END
+  WHEN 'DATE' THEN strftime(coalesce(try_strptime(text, '%d/%m/%Y'), try_strptime(text, '%m/%d/%Y')), '%Y-%m-%d') END AS v FROM x WHERE entity_type IN ('AGE', 'DATE'))
+SELECT file_id, entity_id, 'PROBABLE' AS confidence_level, round(score, 6) AS decision_score, 'local_validation' AS decision_method, v AS normalized_value FROM l WHERE v IS NOT NULL
+UNION ALL SELECT file_id, entity_id, 'PROBABLE', round(score, 6), 'model_score_threshold', NULL FROM x WHERE score > 0.9 AND entity_type IN ({', '.join(repr(t) for t in tn.SCORE_TYPES)})
+UNION ALL SELECT file_id, entity_id, CASE WHEN length(text) % 11 >= 9 THEN 'CONFIDENT' ELSE 'PROBABLE' END, (length(text) % 11) / 10, 'zero_shot', NULL
+FROM x JOIN asked USING (file_id, entity_id) WHERE length(text) % 11 >= 5"""
+)
+
+
+def base_values(spark, d):
+    """The normalized value of every entity of a base type."""
+    rows = _entities(spark, d).withColumn("kind", tn.canonical_type(F.col("entity_type"))).filter(F.col("kind").isin(*tn.BASE_TYPES))
+    return rows.select("file_id", "entity_id", v.normalized_base(F.col("kind"), F.col("text")).alias("value"))
+
+
+_BASE_VALUES = rf"""SELECT file_id, entity_id, rut AS value FROM ({_RUT}) UNION ALL SELECT file_id, entity_id, email FROM ({_EMAIL}) UNION ALL SELECT file_id, entity_id, phone FROM ({_PHONE})
+UNION ALL SELECT file_id, entity_id, nullif(lower(trim(regexp_replace(text, '[\s\p{{Z}}]+', ' ', 'g'))), '') FROM (SELECT * FROM {E_TABLE} QUALIFY row_number() OVER (PARTITION BY file_id, entity_id ORDER BY updated_at DESC) = 1)
+WHERE entity_type IN ('HEALTH_SYSTEM', 'MARITAL_STATUS', 'PENSION_SYSTEM', 'RELIGION_OR_BELIEF')"""
+
+
+def entity_ids(spark, d):
+    """Ids of the recorded entities from what they are and where."""
+    keys = _entities(spark, d).select("file_id", "entity_id", "value_key")
+    return _placed(spark, d).join(keys, ["file_id", "entity_id"]).select("file_id", "entity_id", resolution.entity_identity().alias("made_id"))
+
+
+_IDS = f"""WITH {_S} SELECT s.file_id, s.entity_id, left(sha256(concat_ws('|', s.entity_type, e.value_key, s.chunk_id, s.start_pos, s.end_pos, s.source, s.raw_entity_type)), 16) AS made_id
+FROM s JOIN e ON e.file_id = s.file_id AND e.entity_id = s.entity_id"""
+
+
+def best_overlaps(spark, d):
+    """For each span of no base type, the one of a base type that it shares most with."""
+    s = _placed(spark, d)
+    base = s.filter(F.col("entity_type").isin(*tn.BASE_TYPES))
+    pairs = resolution.overlap_pairs(s.filter(~F.col("entity_type").isin(*tn.BASE_TYPES)), base)
+    best = F.min(F.struct((-F.col("shared")).alias("o"), F.col("b.entity_id").alias("target"))).alias("best")
+    return pairs.groupBy(F.col("a.file_id").alias("file_id"), F.col("a.entity_id").alias("entity_id")).agg(best).select("file_id", "entity_id", "best.target")
+
+
+_BEST = f"""WITH {_S} SELECT a.file_id, a.entity_id, b.entity_id AS target FROM s a JOIN s b ON a.file_id = b.file_id AND a.chunk_id = b.chunk_id AND greatest(a.start_pos, b.start_pos) < least(a.end_pos, b.end_pos)
+WHERE NOT list_contains({_list(tn.BASE_TYPES)}, a.entity_type) AND list_contains({_list(tn.BASE_TYPES)}, b.entity_type)
+QUALIFY row_number() OVER (PARTITION BY a.file_id, a.entity_id ORDER BY least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos) DESC, b.entity_id) = 1"""
+
+
 def value_dedupe(spark, d):
     return reporting.dedupe_by_value(table(spark, d, E_TABLE))
 
@@ -650,6 +707,10 @@ QUERIES = {
     "island_choice": (island_choice, _CHOICE),
     "greedy_kept": (greedy_kept, _GREEDY),
     "value_dedupe": (value_dedupe, _DEDUPE),
+    "gated_entities": (gated_entities, _GATED),
+    "base_values": (base_values, _BASE_VALUES),
+    "entity_ids": (entity_ids, _IDS),
+    "best_overlaps": (best_overlaps, _BEST),
     "header_types": (header_types, _HEADERS),
     "match_rates": (match_rates, _RATES),
     "match_rates_all": (match_rates_all, None),
