@@ -487,9 +487,9 @@ def estimate_channel(read: DataFrame, model: Model) -> dict[tuple[str, str], flo
     return {x: math.log((wrong.get(x, 0) + 20 * math.exp(CONFUSED)) / (right.get(x[1], 0) + wrong.get(x, 0) + 20)) for x in every}
 
 
-def noise_marks(scanned: DataFrame, model: Model) -> DataFrame:
+def noise_marks(scanned: DataFrame, model: Model | None) -> DataFrame:
     """(chunk_id, file_id, kind, anchor, line): kinds found in the text itself,
-    and the anchors a header may have (kind null)."""
+    and the anchors a header may have (kind null). Without a model, the anchors only."""
     shared = scanned.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -497,7 +497,8 @@ def noise_marks(scanned: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             rows = []
             for chunk, file, text in zip(batch["chunk_id"], batch["file_id"], batch["text"], strict=True):
-                rows += [(chunk, file, kind, None, None) for kind in noise_kinds(text, known)]
+                if known is not None:
+                    rows += [(chunk, file, kind, None, None) for kind in noise_kinds(text, known)]
                 rows += [(chunk, file, None, a, line) for a, line in anchors(without(text, page_numbers(text))).items()]
             yield pd.DataFrame(rows, columns=["chunk_id", "file_id", "kind", "anchor", "line"])
 
@@ -539,10 +540,10 @@ def header_anchors(marks: DataFrame, chunks_of_file: DataFrame) -> DataFrame:
     )
 
 
-def _marks_and_headers(chunks: DataFrame, pages: DataFrame) -> tuple[DataFrame, Model, DataFrame, DataFrame]:
+def _marks_and_headers(chunks: DataFrame, pages: DataFrame, kinds: bool = True) -> tuple[DataFrame, Model, DataFrame, DataFrame]:
     texts = chunk_texts(chunks, pages)
     model, scanned = fit_model(texts), spread(texts.filter("scanned").select("chunk_id", "file_id", "text"))
-    marks = written(noise_marks(scanned, model), "marks")
+    marks = written(noise_marks(scanned, model if kinds else None), "marks")
     newest = latest(chunks.select("chunk_id", "file_id", "updated_at"), ["chunk_id"])
     return scanned, model, marks, header_anchors(marks, newest.groupBy("file_id").agg(F.count("*").alias("n")))
 
@@ -564,8 +565,8 @@ def repaired(chunks: DataFrame, pages: DataFrame) -> DataFrame:
     The header's whole line is the most frequent one with the anchor in the
     file; where all of a file's chunks are flat, the anchor alone is removed.
     """
-    scanned, model, marks, headers = _marks_and_headers(chunks, pages)
-    lines = (
+    scanned, model, marks, headers = _marks_and_headers(chunks, pages, kinds=False)
+    lines = written(
         marks.filter("anchor is not null")
         .join(headers, ["file_id", "anchor"])
         .groupBy("file_id", "anchor", "line")
@@ -573,7 +574,8 @@ def repaired(chunks: DataFrame, pages: DataFrame) -> DataFrame:
         .groupBy("file_id", "anchor")
         .agg(F.max_by("line", F.struct(F.col("line").isNotNull(), "n", "line")).alias("line"))
         .groupBy("file_id")
-        .agg(F.collect_list(F.struct("anchor", "line")).alias("header"))
+        .agg(F.collect_list(F.struct("anchor", "line")).alias("header")),
+        "headers",
     )
     shared = chunks.sparkSession.sparkContext.broadcast(model)
 
