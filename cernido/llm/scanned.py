@@ -16,6 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,14 +49,15 @@ _DIVIDED_ANY = re.compile(rf"[{_HYPHEN}](?:[ \t]*\n\s*|[ \t]+)(?={_LETTER})")
 _DIVIDED_FLAT = re.compile(rf"[{_HYPHEN}]\s+(?={_LETTER})|­(?={_LETTER})")
 _ENDING = re.compile(rf"{_LETTER}+\Z")
 _BEGINNING = re.compile(rf"{_LETTER}+")
-_DIVIDED = re.compile(rf"{_LETTER}+(?:[{_HYPHEN}]\s+|­){_LETTER}+")
+_DIVISION = re.compile(rf"[{_HYPHEN}](?:\s+|(?<=­))(?={_LETTER})")
 _COUNTED = re.compile(rf"(?<!\w){_LETTER}+(?:-{_LETTER}+)*(?!\w)")
 _TOKEN = re.compile(r"[^\W_]+")
+_TOKENS = re.compile(r"([^\W_]+)")
 _ADDRESS_SIGN = re.compile(r"@|＠|://|\[at\]|\(arroba\)")
 _BLANK = re.compile(r"\s|\Z")
 #: short words with a digit that may be misread stand free and are no ordinals
-_BEFORE_FREE = re.compile(r"(?:\A|[\s(\[«\"'“¿¡])\Z")
-_AFTER_FREE = re.compile(r"[.,;:)\]»\"'”?!]*(?:\s|\Z)")
+_BEFORE_FREE = re.compile(r"[\s(\[«\"'“¿¡]")
+_AFTER_FREE = re.compile(r"[.,;:)\]»\"'”?!]*\s")
 _ORDINAL = re.compile(r"\d(?:er|[rdtmvn][oa]|st|nd|rd|th)\Z")
 
 _NUMBERED = r"(?:p[áa][gq](?:[il1]na|\.)?|hoja|page)\s*\d{1,4}(?:\s*(?:de|/|of)\s*\d{1,4})?"
@@ -71,10 +73,8 @@ _REFERS = re.compile(r"(?:\b(?:la|las|una|the|see|véase|ver)\s+)$", re.I)
 _GOES_ON = re.compile(r"\s+(?:del|de la|of the)\b", re.I)
 
 _SIGN = re.compile(r"[|·—–/•]")
-_WORD_BEFORE = re.compile(r"([\w.]+)[ \t]+\Z")
 _WORD_AFTER = re.compile(r"[ \t]+(\w+)")
 _NUMBER = re.compile(r"\d[\d/-]*(?=\s|\Z)")
-_LABEL_BEFORE = re.compile(r"(\w+)[ \t]+(?:n[°º][ \t]*)?\Z", re.I)
 
 
 @lru_cache(maxsize=8192)
@@ -100,12 +100,51 @@ def _word_start(text: str, end: int) -> int:
     return end
 
 
-def _run_start(text: str, end: int) -> int:
-    """Where the word before the blanks that end there begins."""
+def _without_divided(text: str) -> str:
+    """The text with a blank for each divided word, both parts and all, found by the
+    division, as few words have one."""
+    parts, at = [], 0
+    for m in _DIVISION.finditer(text):
+        start = m.start()
+        while start > at and text[start - 1].isalnum() and not text[start - 1].isdecimal():
+            start -= 1
+        if start < m.start():
+            parts += [text[at:start], " "]
+            at = _BEGINNING.match(text, m.end()).end()
+    return "".join([*parts, text[at:]]) if parts else text
+
+
+def _blank_start(text: str, end: int) -> int:
+    """Where the blanks that end there begin."""
     while end and text[end - 1] in " \t":
         end -= 1
-    start = text.rfind(" ", 0, end) + 1
-    return max(start, text.rfind("\n", start, end) + 1, text.rfind("\t", start, end) + 1)
+    return end
+
+
+def _word_before(text: str, end: int, more: str = "") -> str:
+    """The word of letters, digits, _ and ``more`` that ends there. Only its own
+    characters are read, however long the run that it ends."""
+    start = end
+    while start and ((c := text[start - 1]).isalnum() or c == "_" or c in more):
+        start -= 1
+    return text[start:end]
+
+
+def _before_sign(text: str, at: int) -> str:
+    """The word that blanks divide from the sign there; empty without one."""
+    end = _blank_start(text, at)
+    return _word_before(text, end, ".") if end < at else ""
+
+
+def _label_before(text: str, at: int) -> str:
+    """The word that blanks, or blanks and a number sign, divide from the number
+    there; empty without one."""
+    end = _blank_start(text, at)
+    if end > 1 and text[end - 1] in "°º" and text[end - 2] in "nN":
+        before = _blank_start(text, end - 2)
+        if before < end - 2 and (word := _word_before(text, before)):
+            return word
+    return _word_before(text, end) if end < at else ""
 
 
 def is_flat(text: str) -> bool:
@@ -180,13 +219,13 @@ def anchors(text: str) -> dict[str, str | None]:
         found[anchor.translate(_FOLD)] = line
 
     for m in _SIGN.finditer(text):
-        a, b = _WORD_BEFORE.search(text, _run_start(text, m.start()), m.start()), _WORD_AFTER.match(text, m.end())
-        if a and b and not (a.group(1).isdigit() and b.group(1).isdigit()):
-            put(f"{a.group(1)} {m.group()} {b.group(1)}", m.start())
+        a, b = _before_sign(text, m.start()), _WORD_AFTER.match(text, m.end())
+        if a and b and not (a.isdigit() and b.group(1).isdigit()):
+            put(f"{a} {m.group()} {b.group(1)}", m.start())
     for m in _NUMBER.finditer(text):
-        a = _LABEL_BEFORE.search(text, _run_start(text, _run_start(text, m.start())), m.start())
-        if a and not a.group(1).isdigit():
-            put(f"{a.group(1)} {m.group()}", m.start())
+        a = _label_before(text, m.start())
+        if a and not a.isdigit():
+            put(f"{a} {m.group()}", m.start())
     return found
 
 
@@ -201,6 +240,7 @@ class Model:
     channel: dict[tuple[str, str], float] = field(default_factory=dict)
     _begun: set[str] = field(default_factory=set)
     _memo: dict[str, list[tuple[str, float]]] = field(default_factory=dict)
+    _decoded: dict[tuple, list[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self._begun = {w[:i] for w in self.words for i in range(len(w) + 1)}
@@ -292,52 +332,77 @@ class Model:
                 at, n = m.end(), n + 1
         return ("".join([*parts, text[at:]]) if n else text), n
 
+    def decode_known(self, read: list[str], before: str | None, after: str | None) -> list[str]:
+        """``decode``, once for each case of a few words, so that those kept stay small.
+        Of an unknown word before nothing bears on the result, of one after its
+        number of digits only."""
+        if len(read) > 8:
+            return self.decode(read, before, after)
+        if before not in self.words:
+            before = None
+        if after is not None and after not in self.words:
+            after = "0" * sum(map(str.isdigit, after))
+        case = (before, after, *read)
+        if case not in self._decoded:
+            if len(self._decoded) > 100_000:
+                self._decoded.clear()
+            self._decoded[case] = self.decode(read, before, after)
+        return self._decoded[case]
+
     def misread(self, text: str, apply: bool = False) -> tuple[str, int]:
-        """The text with its misread words mended, and their number."""
+        """The text with its misread words mended, and their number; without
+        ``apply`` the search ends at the first."""
         lower = text.lower()
         if len(lower) != len(text):
             lower = text
-        doubtful = {w for w in set(_TOKEN.findall(lower)) if not w.isdigit() and self.candidates(w)}
+        # what stands between, a word, what stands between, ...; a line end around it all
+        parts = _TOKENS.split(f"\n{_without_addresses(text, lower)}\n")
+        doubtful = {w for w in set(parts[1::2]) if not w.isdigit() and self.candidates(w)}
         if not doubtful:
             return text, 0
-        masked = []
-        for m in _ADDRESS_SIGN.finditer(text):
-            start = m.start()
-            while start and not text[start - 1].isspace():
-                start -= 1
-            masked.append((start, _BLANK.search(text, m.end()).start()))
-        changed, parts, at = 0, [], 0
-        for line in re.finditer(r"[^\n]+", text):
-            found = list(_TOKEN.finditer(lower, *line.span()))
-            if masked:
-                found = [m for m in found if not any(s <= m.start() < e for s, e in masked)]
-            read = [m.group() for m in found]
-            open_ = [w in doubtful and (len(w) >= LEAST_LENGTH or _stands_free(lower, m)) for w, m in zip(read, found, strict=True)]
-            # a word of one reading only divides the line: what is before it doesn't bear on what comes after
-            i = 0
-            while i < len(read):
-                if not open_[i]:
-                    i += 1
-                    continue
-                j = i + 1
-                while j < len(read) and open_[j]:
-                    j += 1
-                best = self.decode(read[i:j], read[i - 1] if i else None, read[j] if j < len(read) else None)
-                for m, word in zip(found[i:j], best, strict=True):
-                    if word != m.group():
-                        changed += 1
-                        if apply:
-                            parts += [text[at : m.start()], _like(text[m.start() : m.end()], word)]
-                            at = m.end()
-                i = j
-            if changed and not apply:
-                break
-        return ("".join([*parts, text[at:]]) if apply else text), changed
-
-
-def _stands_free(text: str, m: re.Match) -> bool:
-    """Whether a short word is no piece of a code."""
-    return bool(_BEFORE_FREE.search(text, max(0, m.start() - 1), m.start()) and _AFTER_FREE.match(text, m.end()))
+        between, words = parts[0::2], parts[1::2]
+        starts = list(accumulate(map(len, parts), initial=-1))[1::2] if apply else []
+        changed, put, at, end = 0, [], 0, 0
+        # a word of one reading only divides the line: what is before it doesn't bear on what comes after
+        for i in [i for i, w in enumerate(words) if w in doubtful]:
+            if i < end or not (len(words[i]) >= LEAST_LENGTH or _stands_free(between[i], between[i + 1])):
+                continue
+            end = i + 1
+            while "\n" not in between[end] and words[end] in doubtful and (len(words[end]) >= LEAST_LENGTH or _stands_free(between[end], between[end + 1])):
+                end += 1
+            read = words[i:end]
+            best = self.decode_known(read, None if "\n" in between[i] else words[i - 1], None if "\n" in between[end] else words[end])
+            if best == read:
+                continue
+            if not apply:
+                return text, 1
+            for k, (was, now) in enumerate(zip(read, best, strict=True), i):
+                if was != now:
+                    changed += 1
+                    put += [text[at : starts[k]], _like(text[starts[k] : starts[k] + len(was)], now)]
+                    at = starts[k] + len(was)
+        return "".join([*put, text[at:]]), changed
+
+
+def _without_addresses(text: str, lower: str) -> str:
+    """The text in lower case, with _ for each character of the runs that hold a
+    sign of addresses."""
+    parts, at = [], 0
+    for m in _ADDRESS_SIGN.finditer(text):
+        if m.start() < at:
+            continue
+        start = m.start()
+        while start and not text[start - 1].isspace():
+            start -= 1
+        end = _BLANK.search(text, m.end()).start()
+        parts += [lower[at:start], "_" * (end - start)]
+        at = end
+    return "".join([*parts, lower[at:]]) if parts else lower
+
+
+def _stands_free(before: str, after: str) -> bool:
+    """Whether a short word between the two is no piece of a code."""
+    return bool(_BEFORE_FREE.match(before[-1]) and _AFTER_FREE.match(after))
 
 
 def _like(read: str, word: str) -> str:
@@ -426,7 +491,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 if scanned:
                     read.update(_TOKEN.findall(text.lower()))
                     continue
-                found = _COUNTED.findall(_DIVIDED.sub(" ", text).lower())
+                found = _COUNTED.findall(_without_divided(text).lower())
                 words.update(found)
                 pairs.update(zip(found, found[1:], strict=False))
             if len(pairs) + len(read) > 1_000_000:

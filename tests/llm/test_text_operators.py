@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 import unicodedata
 
 import pytest
@@ -203,6 +204,48 @@ def test_words_of_any_length_and_bare_page_numbers():
     assert scanned.repair("la nómina hasta\n47\nnuevo aviso", model) == "la nómina hasta nuevo aviso"
 
 
+def test_a_run_of_many_signs_without_blanks_is_read_once():
+    """A search from the run's start for each sign takes the square of its length."""
+    started = time.process_time()
+    assert scanned.anchors("sol " + "aB8fe0c2d/" * 4000 + " Red | Norte, folio n° 12") == {"red | norte": None, "folio 12": None}
+    assert time.process_time() - started < 2
+
+
+def test_equal_cases_are_decoded_once(monkeypatch):
+    cases, decode = [], scanned.Model.decode
+    monkeypatch.setattr(scanned.Model, "decode", lambda self, *case: cases.append(case) or decode(self, *case))
+    model = scanned.Model({w: 50 for w in "el sol del mes".split()}, {("el", "sol"): 20}, 10_000)
+    text = "\n".join(f"x{i} el 5ol del mes" for i in range(40))
+    assert model.misread(text, apply=True) == (text.replace("5ol", "sol"), 40)
+    assert len(cases) == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["5ol", "e1", "del", "me5", "mes", "zz", "7a", "q9x9", None]), min_size=3, max_size=12))
+def test_decoding_known_cases_changes_nothing(some):
+    model = scanned.Model({w: 50 for w in "el sol del mes cel".split()}, {("el", "sol"): 20, ("del", "mes"): 30}, 10_000)
+    before, *read, after = some
+    read = [w for w in read if w]
+    assert model.decode_known(read, before, after) == model.decode(read, before, after) == model.decode_known(read, before, after)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["sol", "n", "N", "º", "°", "a.b", "x_1", "²", "12", "3-4", " ", "\t", "\n", "\xa0", "-", "\xad", "¬", "|", "/", "é"]), max_size=14).map("".join))
+def test_anchors_and_divided_words_are_those_of_plain_patterns(text):
+    letter = r"[^\W\d_]"
+    assert scanned._without_divided(text) == re.sub(rf"{letter}+(?:[{scanned._HYPHEN}]\s+|\xad){letter}+", " ", text)
+    found = set()
+    for m in scanned._SIGN.finditer(text):
+        a, b = re.search(r"([\w.]+)[ \t]+\Z", text[: m.start()]), scanned._WORD_AFTER.match(text, m.end())
+        if a and b and not (a[1].isdigit() and b[1].isdigit()):
+            found.add(f"{a[1]} {m[0]} {b[1]}".translate(scanned._FOLD))
+    for m in scanned._NUMBER.finditer(text):
+        a = re.search(r"(\w+)[ \t]+(?:n[°º][ \t]*)?\Z", text[: m.start()], re.I)
+        if a and not a[1].isdigit():
+            found.add(f"{a[1]} {m[0]}".translate(scanned._FOLD))
+    assert set(scanned.anchors(text)) == found
+
+
 def test_the_channel_is_estimated_from_aligned_words(spark):
     model = scanned.Model({"oficina": 100, "sol": 50}, {}, 1000)
     read = spark.createDataFrame([("oficina", 1000), ("0ficina", 100), ("oflcina", 10), ("zzz", 9)], "b string, n long")
