@@ -91,3 +91,33 @@ def test_discovery_finds_and_passes_on(spark):
     assert got[("people", "rut")] == ("RUT", "VERY_CONFIDENT", "header_and_value")
     assert got[("pay", "rut")] == ("RUT", "CONFIDENT", "propagated_column_name")
     assert ("people", "id") not in got
+
+
+def test_match_rates_skip_only_cells_that_no_check_accepts(spark):
+    from pyspark.sql import functions as F
+
+    from cernido.functions import validators as v
+    from cernido.functions.textnorm import sample_value, tabular_key
+    from cernido.operators import discovery
+
+    texts = [
+        None, "", "  \t", "12.345.678-5", " 7.654.321-6 ", "4111 1111 1111 1111", "a@b.cl", "á@b.cl", "+56 9 8765 4321", "0056212345678", "ABCD12", "AB-CD-12", "1/2/20",
+        "2020-02-30", "1999-12-31T10:00", "F", " m.", "Otro", "No  binario", "Banmédica S.A.", "capital", "3 de marzo de 1999", "Marzo 3rd, 99", "3 Énero 2001",
+        "Av. Sol 12", "avenido 12", "Población 4", "a" * 24, "z" * 32, "z" * 31 + " ", "x " * 200 + "calle 1", "1" + " " * 300 + "z",
+    ]
+    rows = [(t, n, x, b) for t, n, x, b in zip(texts, [4111111111111111, 987654321, -987654321, 5, None] * 7, [9876543.25, 95432.15, float("nan"), 2.0, 1e30] * 7, [True, None] * 16)]
+    df = spark.createDataFrame(rows, "text string, amount bigint, price double, ok boolean").withColumn("day", F.expr("DATE '1899-12-30' + cast(coalesce(amount, 1) % 7 AS int)"))
+    df = df.withColumn("at", F.col("day").cast("timestamp")).repartition(1)
+    assert discovery.cells(df, {"amount": 0, "ok": 1, "day": 2, "at": 3}).count() == sum(r[1] is not None and r[1] >= 200_000_000 for r in rows)
+    got = {(r.column_name, r.entity_type): (r.matched, r.sampled) for r in discovery.match_rates({"t": df}, {"t": discovery.profile_of(df, "t")}, "2026-01-01").collect()}
+    for name in df.columns:
+        c = sample_value(F.col(name))
+        want = {
+            "RUT": v.rut_in_table(c), "PAYMENT_CARD": v.card_in_table(c), "EMAIL": v.email_in_table(c), "PHONE_CL": v.phone_in_table(c), "LICENSE_PLATE": v.plate_in_table(c),
+            "DATE": F.when(v.full_match(c, v.DATE_PATTERN), v.date_in_table(c, "2026-01-01")), "TEXT_DATE": v.worded_date_in_table(c, "2026-01-01"),
+            "ADDRESS_VALUE": F.nullif(v.address(c, tabular_key(c)), F.lit(False)), "TECHNICAL": F.nullif(v.technical(c), F.lit(False)),
+            **{k: F.nullif(v.in_catalog(k, c, F.lit(False)), F.lit(False)) for k in v.CATALOGS},
+        }
+        row = df.agg(F.count(c).alias("n"), *[F.count(x).alias(k) for k, x in want.items()]).first()
+        assert {k: got[name, k] for k in want} == {k: (row[k], row.n) for k in want}, name
+    assert got["price", "PHONE_CL"][0] == 7 and got["text", "RUT"][0] > 0 and got["text", "TEXT_DATE"][0] > 1
